@@ -33,19 +33,21 @@ def exact_percentiles(
 ) -> DataFrame:
     """Rows (``column_name``, ``share``, ``value``), interpolated linearly between neighbours.
 
-    NULL is left out. A column without values gives NULL.
+    NULL and NaN are left out. A column without values gives NULL.
     """
     spark = df.sparkSession
     values = df.select(*[F.col(name).cast("double") for name in columns]).unpivot(
         [], list(columns), "column_name", "value"
     )
-    values = values.filter(F.col("value").isNotNull())
+    values = values.filter(F.col("value").isNotNull() & ~F.isnan("value"))
     bounds = {
         row["column_name"]: row
         for row in values.groupBy("column_name")
         .agg(F.count("value").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
         .collect()
     }
+    if any(math.isinf(row["low"]) or math.isinf(row["high"]) for row in bounds.values()):
+        raise ValueError("percentiles need finite values")
     ranges = [
         Range(name, rank, row["low"], row["high"], 0)
         for name, row in bounds.items()
