@@ -3,6 +3,10 @@
 from tablework.plans import (  # noqa: F401 - importing a module registers its queries
     flagship,
     scans,
+    bad_records,
+    writes,
+    projections,
+    filters,
 )
 from tablework.plans.registry import REGISTERED
 

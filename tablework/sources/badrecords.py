@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +10,7 @@ from tablework.sources.files import CSV_OPTIONS
 CORRUPT = "_corrupt_record"
 # A read of fewer columns parses fewer of them and so misses malformed records.
 WHOLE_RECORDS = CSV_OPTIONS | {"columnPruning": "false"}
-BAD_RECORD_ERRORS = ("MALFORMED_RECORD_IN_PARSING", "FAILED_READ_FILE")
+BAD_RECORD = "MALFORMED_RECORD_IN_PARSING"
 
 
 def read_permissive(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
@@ -48,8 +47,8 @@ def gate(spark: SparkSession, path: str, schema: str, header: bool = True) -> tu
     )
     try:
         return "accepted", strict.count()
-    except PySparkException as error:
-        if not any(name in str(error) for name in BAD_RECORD_ERRORS):
+    except Exception as error:  # the kind depends on the client; the message names the cause
+        if BAD_RECORD not in str(error):
             raise
         return "rejected", None
 
@@ -59,8 +58,9 @@ def quarantine(parsed: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
 
     Returns both as read back, so the text is parsed once and neither side is recomputed.
     """
-    parsed.withColumn("is_bad", F.col(CORRUPT).isNotNull()).write.partitionBy("is_bad").parquet(path)
-    written = parsed.sparkSession.read.parquet(path)
-    good = written.filter(~F.col("is_bad")).drop("is_bad", CORRUPT)
-    bad = written.filter(F.col("is_bad")).select(CORRUPT)
+    marked = parsed.withColumn("side", F.when(F.col(CORRUPT).isNull(), "good").otherwise("bad"))
+    marked.write.partitionBy("side").parquet(path)
+    written = parsed.sparkSession.read.schema(marked.schema).parquet(path)
+    good = written.filter(F.col("side") == "good").drop("side", CORRUPT)
+    bad = written.filter(F.col("side") == "bad").select(CORRUPT)
     return good, bad
