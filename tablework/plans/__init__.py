@@ -7,6 +7,9 @@ from tablework.plans import (  # noqa: F401 - importing a module registers its q
     writes,
     projections,
     filters,
+    joins,
+    aggregates,
+    row_sets,
 )
 from tablework.plans.registry import REGISTERED
 
