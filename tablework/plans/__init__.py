@@ -10,6 +10,12 @@ from tablework.plans import (  # noqa: F401 - importing a module registers its q
     joins,
     aggregates,
     row_sets,
+    texts,
+    calendar_dates,
+    cell_values,
+    reshapes,
+    version_tables,
+    streams,
 )
 from tablework.plans.registry import REGISTERED
 
