@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 # The patterns whose matches must come out as documented.
 NOT_A_DIGIT = "[^0-9]"
-LOCAL_PART = "[A-Za-z0-9._%+-]+@"
+# Starts where a run of address characters starts and never gives characters back, so that a
+# long text is passed over once.
+LOCAL_PART = "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@"
 PHONE = r"(\d{2,3})[-\s]?(\d{4,5})[-\s]?(\d{4,5})"
 MAIL_DOMAIN = "@([A-Za-z0-9.]+)"
 MAIL_USER = "^([^@]+)@"
@@ -29,7 +31,9 @@ def digits_only(column: str) -> Column:
 
 def mask_mail(column: str) -> Column:
     """Every mail address in the text with the part before the @ hidden."""
-    return F.regexp_replace(F.col(column), LOCAL_PART, "***@")
+    value = F.col(column)
+    masked = F.regexp_replace(value, LOCAL_PART, "***@")
+    return F.when(value.contains("@"), masked).otherwise(value)
 
 
 def contains_any_case(column: str, needle: str) -> Column:
