@@ -24,7 +24,7 @@ def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     result = [names.get(name, name) for name in df.columns]
     if len(set(result)) != len(result):
         raise ValueError(f"renaming gives equal names: {result}")
-    return df.withColumnsRenamed(dict(names))
+    return df.toDF(*result)  # all at once, so that names may be exchanged
 
 
 def set_where(df: DataFrame, condition: Column, column: str, value: Column) -> DataFrame:

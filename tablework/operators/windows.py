@@ -42,12 +42,11 @@ def with_chunks(df: DataFrame, position: Column, rows_per_chunk: int) -> DataFra
     shares = [number / chunks for number in range(1, chunks)]
     cuts = sorted(set(placed.approxQuantile("_position", shares, 1 / (4 * chunks))))
     bucketizer = Bucketizer(
-        splits=[-math.inf, *cuts, math.inf],
-        inputCol="_position",
-        outputCol=CHUNK,
-        handleInvalid="keep",  # NULL goes behind the last chunk
+        splits=[-math.inf, *cuts, math.inf], inputCol="_position", outputCol=CHUNK
     )
-    return bucketizer.transform(placed).drop("_position")
+    last = F.lit(float(len(cuts) + 1))  # NULL goes behind all values
+    cut = bucketizer.setHandleInvalid("keep").transform(placed).drop("_position")
+    return cut.withColumn(CHUNK, F.coalesce(CHUNK, last))
 
 
 def _with_neighbours(

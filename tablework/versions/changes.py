@@ -128,6 +128,8 @@ def curve_position(df: DataFrame, columns: Sequence[str], bits: int = 8) -> tupl
     gets as many steps as its rows deserve; the bits of the step numbers are interleaved.
     """
     steps = 2**bits
+    if (bits + 1) * len(columns) > 63:
+        raise ValueError(f"{len(columns)} columns of {bits} bits do not fit into one number")
     shares = [number / steps for number in range(1, steps)]
     numeric = df.withColumns({f"_c_{name}": F.col(name).cast("double") for name in columns})
     cuts = numeric.approxQuantile([f"_c_{name}" for name in columns], shares, 1 / (4 * steps))
@@ -142,7 +144,8 @@ def curve_position(df: DataFrame, columns: Sequence[str], bits: int = 8) -> tupl
     position = F.lit(0).cast("bigint")
     for bit in range(bits + 1):  # one more: NULL has a step of its own behind the others
         for number, name in enumerate(columns):
-            one = F.shiftright(F.col(f"_s_{name}").cast("bigint"), bit).bitwiseAND(F.lit(1))
+            step = F.coalesce(F.col(f"_s_{name}"), F.lit(steps)).cast("bigint")
+            one = F.shiftright(step, bit).bitwiseAND(F.lit(1))
             position = position.bitwiseOR(F.shiftleft(one, bit * len(columns) + number))
     return numeric, position
 

@@ -52,7 +52,7 @@ def test_inferred_types(spark, path):
 def test_short_and_unreadable_fields_are_null(spark, path):
     spark.createDataFrame([("1,a",), ("x,b,2.5",), ("",)], "value string").write.text(path)
     rows = files.read_fields(spark, path, {"id": "int", "name": "string", "v": "double"})
-    assert {tuple(row) for row in rows.collect()} == {(1, "a", None), (None, "b", 2.5), (None, "", None)}
+    assert {tuple(row) for row in rows.collect()} == {(1, "a", None), (None, "b", 2.5), (None, None, None)}
 
 
 def test_missing_path_gives_an_empty_table(spark, path):
@@ -103,7 +103,9 @@ def test_permissive_keeps_the_line(spark, dirty):
     rows = badrecords.read_permissive(spark, dirty, SCHEMA)
     bad = rows.filter(F.col(badrecords.CORRUPT).isNotNull())
     assert {row[badrecords.CORRUPT] for row in bad.collect()} == {"BAD,x", "3,c,oops"}
-    assert rows.count() == 4
+    assert bad.count() == 2 and rows.count() == 4
+    good = rows.filter(F.col(badrecords.CORRUPT).isNull())
+    assert sorted(row["id"] for row in good.select("id").collect()) == [1, 4]
 
 
 def test_dropping_counts_right_whatever_is_read(spark, dirty):
@@ -114,6 +116,9 @@ def test_dropping_counts_right_whatever_is_read(spark, dirty):
 
 def test_gate_rejects_bad_records_only(spark, dirty, path):
     assert badrecords.gate(spark, dirty, SCHEMA) == ("rejected", None)
+    one_bad_value = f"{path}-value"
+    spark.createDataFrame([("1,a,x",)], "value string").write.text(one_bad_value)
+    assert badrecords.gate(spark, one_bad_value, SCHEMA, header=False) == ("rejected", None)
     sinks.write_csv(spark.range(3), path)
     assert badrecords.gate(spark, path, "id bigint") == ("accepted", 3)
     with pytest.raises(AnalysisException):

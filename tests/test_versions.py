@@ -48,7 +48,7 @@ def test_restoring_gives_the_version_back(spark, changes, rows_of, version):
     v.write_version(fixes, path, 5, None, AT)
     now = v.snapshot(v.read_changes(spark, path), KEY)
     assert rows_of(now) == rows_of(v.snapshot(changes, KEY, version))
-    assert fixes.count() == {1: 35, 2: 40 - 5, 3: 10, 4: 0}[version]
+    assert fixes.count() == {1: 40, 2: 35, 3: 10, 4: 0}[version]
 
 
 def test_retention_keeps_later_versions(spark, changes, rows_of):
