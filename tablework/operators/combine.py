@@ -39,17 +39,22 @@ def salted_join(
 ) -> DataFrame:
     """Join on one key, spreading the hot keys of ``left`` over ``salts`` tasks.
 
-    A row of ``left`` with a hot key gets one of ``salts`` numbers from a hash of the whole
-    row; the few rows of ``right`` with that key are repeated once per number, so every pair
-    still meets exactly once. All other rows get the number 0. ``how`` is ``inner``, ``left``,
-    ``left_semi`` or ``left_anti``: the rows of ``left`` decide what is kept.
-
-    ``right`` should be the side with few rows per key.
+    A row of ``left`` with a hot key gets one of ``salts`` numbers; the few rows of ``right``
+    with that key are repeated once per number, so every pair still meets exactly once. All
+    other rows get the number 0. The number comes from a hash of the row, moved on by the input
+    partition so that equal rows spread as well; it is the same when a task runs again.
+
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``: the rows of ``left`` decide
+    what is kept. ``right`` should be the side with few rows per key. Filter and select before
+    the join: the numbers keep Spark from moving later filters below it.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
+    if how in ("left_semi", "left_anti"):
+        right = right.select(on).distinct()
     hot = hot_keys(left, on, share)
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    row_hash = F.pmod(F.xxhash64(*left.columns), F.lit(salts)) + F.spark_partition_id()
+    spread = F.pmod(row_hash, F.lit(salts)).cast("int")
     numbers = F.when(_is_hot(F.col(on), hot), F.sequence(F.lit(0), F.lit(salts - 1)))
     salted_left = left.withColumn(SALT, F.when(_is_hot(F.col(on), hot), spread).otherwise(0))
     salted_right = right.withColumn(

@@ -8,20 +8,22 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablework.operators.combine import salted_join
+
 
 def filter_with(df: DataFrame, condition: str, args: Mapping[str, Any]) -> DataFrame:
     """Filter by an SQL condition with named markers (``:name``) bound to ``args``."""
     return df.sparkSession.sql(f"SELECT * FROM {{rows}} WHERE {condition}", dict(args), rows=df)
 
 
-def keep_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
+def keep_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows whose key occurs in ``keys``: the membership test for lists of any length."""
-    return df.join(keys, on, "left_semi")
+    return salted_join(df, keys, on, "left_semi")
 
 
-def remove_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows whose key does not occur in ``keys``."""
-    return df.join(keys, on, "left_anti")
+def remove_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows whose key does not occur in ``keys``; rows without a key stay."""
+    return salted_join(df, keys, on, "left_anti")
 
 
 def label_slice(df: DataFrame, key: str, first: Any, last: Any) -> DataFrame:

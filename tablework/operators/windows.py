@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
 EXTRA = "_extra"
-ROWS_PER_CHUNK = 2_000_000
-MAX_CHUNKS = 100_000
+ROWS_PER_CHUNK = 250_000
+MAX_CHUNKS = 10_000
 
 
 def seconds_since_epoch(column: str) -> Column:
@@ -34,7 +34,11 @@ def seconds_since_epoch(column: str) -> Column:
 
 
 def with_chunks(df: DataFrame, position: Column, rows_per_chunk: int) -> DataFrame:
-    """Add the chunk number of each row; ``position`` is numeric and follows the order."""
+    """Add the chunk number of each row; ``position`` is numeric and follows the order.
+
+    Passes over ``df`` to count it and to find the cuts, so ``df`` should be cheap to compute
+    again: a scan, or the result of ``checkpointed``.
+    """
     chunks = min(math.ceil(df.count() / rows_per_chunk), MAX_CHUNKS)
     if chunks <= 1:
         return df.withColumn(CHUNK, F.lit(0.0))

@@ -93,13 +93,13 @@ def stored_schema(spark, sf_dir):
 
 @query("t4_exactly_once", ALL_EVENTS)
 def exactly_once(spark, sf_dir):
-    """Restarts on one checkpoint, in small batches, load every file once."""
+    """Restarts on one checkpoint load every file once."""
     events = table(spark, sf_dir, "events")
     folder, sink = new_path(spark, "landing"), new_path(spark, "loaded")
     progress = new_path(spark, "progress")
     for wave in range(3):
         _land(events, folder, wave)
-        stream = incremental.new_files(spark, folder, events.schema, max_files=1)
+        stream = incremental.new_files(spark, folder, events.schema)
         incremental.append_available(stream, sink, progress)
     return spark.read.schema(events.schema).parquet(sink)
 

@@ -119,7 +119,7 @@ def retention(spark, sf_dir):
     return second.unionByName(third)
 
 
-ROWS_PER_FILE = 5_000
+ROWS_PER_FILE = 1_000_000
 
 
 @query("v8_compact", V3_SQL)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -139,7 +140,7 @@ def compression(spark, sf_dir):
     return reduce(DataFrame.unionByName, results)
 
 
-ROWS_PER_FILE = 2_000
+ROWS_PER_FILE = 1_000_000
 
 
 @query(
@@ -150,8 +151,10 @@ ROWS_PER_FILE = 2_000
     """,
 )
 def file_count(spark, sf_dir):
+    """As many files as the number of rows asks for."""
     path = new_path(spark, "orders-sized")
-    files.write_sized(table(spark, sf_dir, "orders"), path, ROWS_PER_FILE)
+    orders = table(spark, sf_dir, "orders")
+    files.write_files(orders, path, math.ceil(orders.count() / ROWS_PER_FILE))
     n_files = file_sizes(spark, path, ".parquet").agg(F.count(F.lit(1)))
     return spark.read.parquet(path).agg(
         F.count(F.lit(1)).alias("n_rows"), n_files.scalar().alias("n_files")

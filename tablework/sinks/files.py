@@ -20,7 +20,7 @@ def write_json(df: DataFrame, path: str, mode: str = "error", **options: str) ->
     df.write.mode(mode).options(**(TEXT_OPTIONS | options)).json(path)
 
 
-def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
+def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 20_000) -> None:
     """JSON arrays over many lines, one array per file and about ``rows_per_file`` rows in each."""
     files = max(math.ceil(df.count() / rows_per_file), 1)
 
@@ -50,8 +50,12 @@ def write_files(df: DataFrame, path: str, files: int) -> None:
 
 
 def write_sized(df: DataFrame, path: str, rows_per_file: int) -> None:
-    """Parquet in files of about ``rows_per_file`` rows, however many rows there are."""
-    write_files(df, path, max(math.ceil(df.count() / rows_per_file), 1))
+    """Parquet in few files of even size, none with more than ``rows_per_file`` rows.
+
+    The rebalance hint merges small and splits large partitions by their measured bytes.
+    """
+    balanced = df.hint("rebalance")
+    balanced.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
 def write_partitioned(df: DataFrame, path: str, columns: Sequence[str], mode: str = "error") -> None:

@@ -117,7 +117,7 @@ def write_retained(changes: DataFrame, key: Sequence[str], horizon: int, path: s
 
 
 def compact(rows: DataFrame, path: str, rows_per_file: int) -> None:
-    """Rewrite rows into files of about equal size."""
+    """Rewrite rows into few files of even size."""
     write_sized(rows, path, rows_per_file)
 
 
@@ -155,7 +155,8 @@ def cluster(
 ) -> None:
     """Rewrite rows so that each file covers a small range of every one of ``columns``.
 
-    ``key`` is unique and lets Spark cut a hot place on the curve into several files.
+    ``key`` is unique and lets Spark cut a hot place on the curve into several files. Passes
+    over ``df`` several times, so it should be a scan or the result of ``checkpointed``.
     """
     files = max(math.ceil(df.count() / rows_per_file), 1)
     placed, position = curve_position(df, columns)

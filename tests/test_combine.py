@@ -46,6 +46,26 @@ def test_hot_keys_are_found_and_few(left):
     assert len(hot) <= 21
 
 
+def test_equal_rows_with_a_hot_key_spread(spark):
+    copies = spark.range(0, 8000, 1, 8).select(F.lit(1).alias("k"))
+    other = spark.createDataFrame([(1, "v")], "k int, v string").hint("merge")
+    joined = combine.salted_join(copies, other, "k", salts=8)
+    assert joined.count() == 8000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = joined.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(row["count"] for row in tasks) <= 5000
+
+
+def test_repeated_keys_on_the_right_do_not_repeat_rows(spark):
+    left = spark.range(10).select((F.col("id") % 2).alias("k"))
+    right = spark.range(1000).select(F.lit(1).cast("bigint").alias("k"))
+    assert combine.salted_join(left, right, "k", "left_semi").count() == 5
+    assert combine.salted_join(left, right, "k", "left_anti").count() == 5
+
+
 def test_other_join_kinds_are_refused(left, right):
     with pytest.raises(ValueError):
         combine.salted_join(left, right, "k", "full")

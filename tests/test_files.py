@@ -63,7 +63,7 @@ def test_missing_path_gives_an_empty_table(spark, path):
 def test_file_count_and_size(spark, path):
     df = spark.range(1000).repartition(7)
     sinks.write_sized(df, f"{path}/sized", rows_per_file=300)
-    assert files.file_sizes(spark, f"{path}/sized", ".parquet").count() == 4
+    assert 4 <= files.file_sizes(spark, f"{path}/sized", ".parquet").count() <= 5
     sinks.write_files(df, f"{path}/three", 3)
     assert files.file_sizes(spark, f"{path}/three", ".parquet").count() == 3
 
