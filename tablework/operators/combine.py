@@ -6,20 +6,37 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 SALT = "_salt"
+HOT_SHARE = 0.0005
+FEW_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
-    """Keys that may hold more than ``share`` of the rows, NULL included.
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, few_rows: int = FEW_ROWS) -> list:
+    """Keys, NULL included, that hold more than ``share`` of the rows; none in a short table.
 
-    Spark's frequent-items sketch finds every such key in one pass without a shuffle and
-    returns at most ``1 / share`` values; some of them may be less frequent.
+    Spark's frequent-items sketch finds every such key, and some others, in one pass without a
+    shuffle; a second pass counts these candidates exactly. There are at most ``1 / share`` of
+    them, however large the table is, so they are broadcast.
     """
-    return df.stat.freqItems([key], share).first()[0] or []
+    n = df.count()
+    if n < few_rows:
+        return []
+    candidates = df.stat.freqItems([key], share).first()[0] or []
+    kind = StructType([StructField("_candidate", df.schema[key].dataType)])
+    few = df.sparkSession.createDataFrame([(value,) for value in candidates], kind)
+    counts = (
+        df.select(key)
+        .join(F.broadcast(few), F.col(key).eqNullSafe(F.col("_candidate")), "left_semi")
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return [row[key] for row in counts.filter(F.col("n") > share * n).collect()]
 
 
-def _is_hot(column: Column, hot: Sequence) -> Column:
+def is_hot(column: Column, hot: Sequence) -> Column:
+    """Whether the value is one of ``hot``, which may hold NULL; never NULL itself."""
     values = [value for value in hot if value is not None]
     found = column.isin(values) if values else F.lit(False)
     if len(values) < len(hot):
@@ -33,13 +50,15 @@ def salted_join(
     on: str,
     how: str = "inner",
     *,
-    share: float = 0.01,
-    salts: int = 32,
+    share: float = HOT_SHARE,
+    salts: int | None = None,
+    few_rows: int = FEW_ROWS,
     null_safe: bool = False,
 ) -> DataFrame:
-    """Join on one key, spreading the hot keys of ``left`` over ``salts`` tasks.
+    """Join on one key, spreading each hot key of ``left`` over the shuffle partitions.
 
-    A row of ``left`` with a hot key gets one of ``salts`` numbers; the few rows of ``right``
+    A row of ``left`` with a hot key gets one of ``salts`` numbers (by default as many as there
+    are shuffle partitions); the few rows of ``right``
     with that key are repeated once per number, so every pair still meets exactly once. All
     other rows get the number 0. The number comes from a hash of the row, moved on by the input
     partition so that equal rows spread as well; it is the same when a task runs again.
@@ -52,11 +71,13 @@ def salted_join(
         raise ValueError(f"cannot salt a {how} join")
     if how in ("left_semi", "left_anti"):
         right = right.select(on).distinct()
-    hot = hot_keys(left, on, share)
+    if salts is None:
+        salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(left, on, share, few_rows)
     row_hash = F.pmod(F.xxhash64(*left.columns), F.lit(salts)) + F.spark_partition_id()
     spread = F.pmod(row_hash, F.lit(salts)).cast("int")
-    numbers = F.when(_is_hot(F.col(on), hot), F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_left = left.withColumn(SALT, F.when(_is_hot(F.col(on), hot), spread).otherwise(0))
+    numbers = F.when(is_hot(F.col(on), hot), F.sequence(F.lit(0), F.lit(salts - 1)))
+    salted_left = left.withColumn(SALT, F.when(is_hot(F.col(on), hot), spread).otherwise(0))
     salted_right = right.withColumn(
         SALT, F.explode(F.coalesce(numbers, F.array(F.lit(0))))
     )

@@ -1,10 +1,11 @@
 """Window operators for entities of any size.
 
-A window partitioned by an entity alone puts a hot entity in one task. Here the order column is
-cut at its quantiles into chunks of about ``rows_per_chunk`` rows, and windows run per entity
-and chunk. What a row needs from other chunks is added exactly: the neighbouring rows for
-frames, lag and lead, or the counts of the earlier chunks for ranks. Equal values of the order
-column always share a chunk.
+A window partitioned by an entity alone puts a hot entity in one task. Here the rows of hot
+entities are cut at quantiles of the order column into chunks of at most about
+``rows_per_chunk`` rows, and windows run per entity and chunk; other entities are one chunk.
+What a row needs from other chunks is added exactly: the neighbouring rows for frames, lag and
+lead, or the counts of the earlier chunks for ranks. Equal values of the order column always
+share a chunk.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablework.operators.combine import HOT_SHARE, hot_keys, is_hot
+
 CHUNK = "_chunk"
 EXTRA = "_extra"
 ROWS_PER_CHUNK = 250_000
@@ -33,24 +36,37 @@ def seconds_since_epoch(column: str) -> Column:
     )
 
 
-def with_chunks(df: DataFrame, position: Column, rows_per_chunk: int) -> DataFrame:
+def with_chunks(
+    df: DataFrame, entity: Sequence[str], position: Column, rows_per_chunk: int
+) -> DataFrame:
     """Add the chunk number of each row; ``position`` is numeric and follows the order.
 
-    Passes over ``df`` to count it and to find the cuts, so ``df`` should be cheap to compute
-    again: a scan, or the result of ``checkpointed``.
+    Passes over ``df`` to count it, to find hot entities and to find the cuts, so ``df`` should
+    be cheap to compute again: a scan, or the result of ``checkpointed``.
     """
-    chunks = min(math.ceil(df.count() / rows_per_chunk), MAX_CHUNKS)
-    if chunks <= 1:
-        return df.withColumn(CHUNK, F.lit(0.0))
-    placed = df.withColumn("_position", position.cast("double"))
+    n = df.count()
+    if n <= rows_per_chunk:
+        return df.withColumn(CHUNK, F.lit(0))
+    placed = df.withColumns(
+        {"_entity": F.xxhash64(*entity), "_position": position.cast("double")}
+    )
+    share = max(rows_per_chunk / n, HOT_SHARE)
+    entities = hot_keys(placed, "_entity", share, rows_per_chunk)
+    if not entities:
+        return df.withColumn(CHUNK, F.lit(0))
+    hot = is_hot(F.col("_entity"), entities)
+    chunks = min(math.ceil(n / rows_per_chunk), MAX_CHUNKS)
     shares = [number / chunks for number in range(1, chunks)]
-    cuts = sorted(set(placed.approxQuantile("_position", shares, 1 / (4 * chunks))))
+    cuts = sorted(
+        set(placed.filter(hot).approxQuantile("_position", shares, 1 / (4 * chunks)))
+    )
     bucketizer = Bucketizer(
         splits=[-math.inf, *cuts, math.inf], inputCol="_position", outputCol=CHUNK
     )
     last = F.lit(float(len(cuts) + 1))  # NULL goes behind all values
-    cut = bucketizer.setHandleInvalid("keep").transform(placed).drop("_position")
-    return cut.withColumn(CHUNK, F.coalesce(CHUNK, last))
+    cut = bucketizer.setHandleInvalid("keep").transform(placed)
+    chunk = F.when(hot, F.coalesce(CHUNK, last)).otherwise(0).cast("int")
+    return cut.withColumn(CHUNK, chunk).drop("_entity", "_position")
 
 
 def _with_neighbours(
@@ -111,7 +127,7 @@ def with_neighbour_columns(
     ``columns`` maps names to expressions over ``group_window(entity, order)``; ``carried`` are
     the columns these expressions read. ``order`` is a total order within an entity.
     """
-    chunked = with_chunks(df, position, rows_per_chunk)
+    chunked = with_chunks(df, entity, position, rows_per_chunk)
     padded = _with_neighbours(chunked, entity, order, carried, before, after)
     result = padded.withColumns(columns).filter(~F.col(EXTRA))
     return result.select(*df.columns, *columns)
@@ -189,35 +205,34 @@ def ranked(
     """Add ``row_no``, ``rank_no`` and ``dense_no`` by descending ``value`` within the entity.
 
     ``tie`` makes the row numbers unique. Ranks are taken per chunk and raised by the number of
-    rows, or of distinct values, in the chunks before it.
+    rows, or of distinct values, in the chunks before it; one added row per chunk brings these
+    numbers along, behind the others, so that the rows are shuffled once.
     """
-    chunked = with_chunks(df, -F.col(value), rows_per_chunk)
-    by_value = Window.partitionBy(*entity, CHUNK).orderBy(F.desc(value))
-    by_row = Window.partitionBy(*entity, CHUNK).orderBy(F.desc(value), *tie)
-    local = chunked.withColumns(
-        {
-            "row_no": F.row_number().over(by_row),
-            "rank_no": F.rank().over(by_value),
-            "dense_no": F.dense_rank().over(by_value),
-        }
-    )
-    sizes = local.groupBy(*entity, CHUNK).agg(
-        F.count(F.lit(1)).alias("_rows"), F.max("dense_no").alias("_values")
+    chunked = with_chunks(df, entity, -F.col(value), rows_per_chunk)
+    sizes = chunked.groupBy(*entity, CHUNK).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count_distinct(value).alias("_values")
     )
     earlier = (
         Window.partitionBy(*entity).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = sizes.select(
-        *[F.col(name).alias(f"_of_{name}") for name in [*entity, CHUNK]],
+        *entity,
+        CHUNK,
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
         F.coalesce(F.sum("_values").over(earlier), F.lit(0)).alias("_values_before"),
+        F.lit(True).alias(EXTRA),
     )
-    same = F.lit(True)
-    for name in [*entity, CHUNK]:
-        same = same & F.col(name).eqNullSafe(F.col(f"_of_{name}"))
-    return local.join(offsets, same).select(
-        *df.columns,
-        (F.col("row_no") + F.col("_rows_before")).alias("row_no"),
-        (F.col("rank_no") + F.col("_rows_before")).alias("rank_no"),
-        (F.col("dense_no") + F.col("_values_before")).alias("dense_no"),
+    padded = chunked.withColumn(EXTRA, F.lit(False)).unionByName(offsets, allowMissingColumns=True)
+    group = Window.partitionBy(*entity, CHUNK)
+    by_value = group.orderBy(EXTRA, F.desc(value))
+    by_row = group.orderBy(EXTRA, F.desc(value), *tie)
+    rows_before = F.max("_rows_before").over(group)
+    values_before = F.max("_values_before").over(group)
+    result = padded.withColumns(
+        {
+            "row_no": F.row_number().over(by_row) + rows_before,
+            "rank_no": F.rank().over(by_value) + rows_before,
+            "dense_no": F.dense_rank().over(by_value) + values_before,
+        }
     )
+    return result.filter(~F.col(EXTRA)).select(*df.columns, "row_no", "rank_no", "dense_no")

@@ -50,10 +50,9 @@ def membership(spark, sf_dir):
     """A short list as literals, a list that grows with the data as a semi join."""
     promo = table(spark, sf_dir, "part").filter("p_type = 'PROMO'")
     lines = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag").isin("A", "R"))
+    lines = lines.select("l_orderkey", "l_partkey", "l_quantity")
     keys = promo.select(F.col("p_partkey").alias("l_partkey"))
-    return predicates.keep_keys(lines, keys, "l_partkey").select(
-        "l_orderkey", "l_partkey", "l_quantity"
-    )
+    return predicates.keep_keys(lines, keys, "l_partkey")
 
 
 @query("f4_like_prefix", "SELECT p_partkey, p_name FROM part WHERE p_name LIKE 'red%'")

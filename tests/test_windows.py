@@ -71,9 +71,11 @@ def test_ranks(series, rows_of, rows_per_chunk):
 
 
 def test_chunks_split_a_hot_entity(series):
-    chunked = windows.with_chunks(series.filter("entity = 'hot'"), F.col("id"), 100)
-    sizes = [row["count"] for row in chunked.groupBy(windows.CHUNK).count().collect()]
-    assert len(sizes) >= 9 and max(sizes) <= 200
+    chunked = windows.with_chunks(series, ["entity"], F.col("id"), 100)
+    sizes = chunked.groupBy("entity", windows.CHUNK).count()
+    hot = [row["count"] for row in sizes.filter("entity = 'hot'").collect()]
+    assert sum(hot) == 1000 and max(hot) <= 150
+    assert sizes.count() - len(hot) == sizes.filter("NOT entity <=> 'hot'").select("entity").distinct().count()
 
 
 def test_seconds_follow_the_timestamps(spark):
