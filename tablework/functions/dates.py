@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,6 +17,13 @@ def today(as_of: date | None = None) -> Column:
     return F.current_date() if as_of is None else F.lit(as_of)
 
 
+def now(as_of: datetime | None = None) -> Column:
+    """The moment the query runs, or a fixed one, as a timestamp without zone."""
+    if as_of is None:
+        return F.localtimestamp()
+    return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def days_since(column: str, as_of: date | None = None) -> Column:
     return F.datediff(today(as_of), F.col(column).cast("date"))
 

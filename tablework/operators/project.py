@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablework.operators.combine import salted_join
+
 
 def select_except(df: DataFrame, dropped: Sequence[str]) -> DataFrame:
     """All columns but ``dropped``; unlike ``drop``, an unknown name is an error."""
@@ -42,7 +44,7 @@ def apply_corrections(
     """
     fixes = corrections.select(F.col(key), F.col(column).alias("_corrected"))
     return (
-        df.join(fixes, key, "left")
+        salted_join(df, fixes, key, "left")
         .withColumn(column, F.coalesce("_corrected", column))
         .drop("_corrected")
         .select(df.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
@@ -11,6 +11,7 @@ from tablework.plans.derived import DATE_TEXT_SQL, orders_as_text
 from tablework.plans.registry import query, table
 
 AS_OF = date(2002, 2, 28)
+MOMENT = datetime(2002, 2, 28, 12, 30)
 
 
 def _day_text(column):
@@ -32,14 +33,16 @@ def parse_date(spark, sf_dir):
 @query(
     "d2_as_of",
     """
-    SELECT o_orderkey, '2002-02-28' AS today, o_orderdate < DATE '2002-02-28' AS is_past FROM orders
+    SELECT o_orderkey, '2002-02-28' AS today, '2002-02-28 12:30:00' AS moment,
+           o_orderdate < TIMESTAMP '2002-02-28 12:30:00' AS is_past FROM orders
     """,
 )
 def as_of(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
         "o_orderkey",
         _day_text(dates.today(AS_OF)).alias("today"),
-        (F.col("o_orderdate").cast("date") < dates.today(AS_OF)).alias("is_past"),
+        F.date_format(dates.now(MOMENT), "yyyy-MM-dd HH:mm:ss").alias("moment"),
+        (F.col("o_orderdate") < dates.now(MOMENT)).alias("is_past"),
     )
 
 
