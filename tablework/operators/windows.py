@@ -4,8 +4,8 @@ A window partitioned by an entity alone puts a hot entity in one task. Here the
 entities are cut at quantiles of the order column into chunks of at most about
 ``rows_per_chunk`` rows, and windows run per entity and chunk; other entities are one chunk.
 What a row needs from other chunks is added exactly: the neighbouring rows for frames, lag and
-lead, or the counts of the earlier chunks for ranks. Equal values of the order column always
-share a chunk.
+lead, or the counts of the earlier chunks for ranks. A single order value that fills chunks of
+its own is cut further by a second column.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tablework.operators.combine import HOT_SHARE, hot_keys, is_hot
 
 CHUNK = "_chunk"
+STEP = "_step"
 EXTRA = "_extra"
 ROWS_PER_CHUNK = 250_000
 MAX_CHUNKS = 10_000
@@ -36,37 +37,66 @@ def seconds_since_epoch(column: str) -> Column:
     )
 
 
+def _bucket(df: DataFrame, cuts: Sequence[float], position: str, out: str) -> DataFrame:
+    """Add the number of the interval between ``cuts``; NULL goes behind all values."""
+    bucketizer = Bucketizer(
+        splits=[-math.inf, *cuts, math.inf],
+        inputCol=position,
+        outputCol=out,
+        handleInvalid="keep",
+    )
+    last = F.lit(float(len(cuts) + 1))
+    return bucketizer.transform(df).withColumn(out, F.coalesce(out, last).cast("bigint"))
+
+
 def with_chunks(
-    df: DataFrame, entity: Sequence[str], position: Column, rows_per_chunk: int
+    df: DataFrame,
+    entity: Sequence[str],
+    position: Column,
+    rows_per_chunk: int,
+    tie: Column | None = None,
 ) -> DataFrame:
-    """Add the chunk number of each row; ``position`` is numeric and follows the order.
+    """Add the chunk number of each row, and in STEP the number without the cuts by ``tie``.
 
+    ``position`` is numeric and follows the order, ``tie`` follows it among equal positions.
     Passes over ``df`` to count it, to find hot entities and to find the cuts, so ``df`` should
     be cheap to compute again: a scan, or the result of ``checkpointed``.
     """
+    one_chunk = df.withColumns({CHUNK: F.lit(0).cast("bigint"), STEP: F.lit(0).cast("bigint")})
     n = df.count()
     if n <= rows_per_chunk:
-        return df.withColumn(CHUNK, F.lit(0))
+        return one_chunk
     placed = df.withColumns(
-        {"_entity": F.xxhash64(*entity), "_position": position.cast("double")}
+        {
+            "_entity": F.xxhash64(*entity),
+            "_position": position.cast("double"),
+            "_tie": (F.lit(0) if tie is None else tie).cast("double"),
+        }
     )
     share = max(rows_per_chunk / n, HOT_SHARE)
     entities = hot_keys(placed, "_entity", share, rows_per_chunk)
     if not entities:
-        return df.withColumn(CHUNK, F.lit(0))
+        return one_chunk
     hot = is_hot(F.col("_entity"), entities)
     chunks = min(math.ceil(n / rows_per_chunk), MAX_CHUNKS)
     shares = [number / chunks for number in range(1, chunks)]
-    cuts = sorted(
-        set(placed.filter(hot).approxQuantile("_position", shares, 1 / (4 * chunks)))
-    )
-    bucketizer = Bucketizer(
-        splits=[-math.inf, *cuts, math.inf], inputCol="_position", outputCol=CHUNK
-    )
-    last = F.lit(float(len(cuts) + 1))  # NULL goes behind all values
-    cut = bucketizer.setHandleInvalid("keep").transform(placed)
-    chunk = F.when(hot, F.coalesce(CHUNK, last)).otherwise(0).cast("int")
-    return cut.withColumn(CHUNK, chunk).drop("_entity", "_position")
+
+    def quantiles(rows: DataFrame, column: str) -> list[float]:
+        return rows.approxQuantile(column, shares, 1 / (4 * chunks))
+
+    found = quantiles(placed.filter(hot), "_position")
+    # A value that is a quantile twice fills a chunk: it gets an interval to itself.
+    crowded = sorted({value for value, following in zip(found, found[1:]) if value == following})
+    cuts = sorted({*found, *(math.nextafter(value, math.inf) for value in crowded)})
+    placed = _bucket(placed, cuts, "_position", STEP)
+    placed = placed.withColumn(STEP, F.when(hot, F.col(STEP)).otherwise(0))
+    chunk = F.col(STEP)
+    if tie is not None and crowded:
+        is_crowded = hot & F.coalesce(F.col("_position").isin(crowded), F.lit(False))
+        tie_cuts = sorted(set(quantiles(placed.filter(is_crowded), "_tie")))
+        placed = _bucket(placed, tie_cuts, "_tie", "_sub")
+        chunk = chunk * (len(tie_cuts) + 2) + F.when(is_crowded, F.col("_sub")).otherwise(0)
+    return placed.withColumn(CHUNK, chunk).select(*df.columns, CHUNK, STEP)
 
 
 def _with_neighbours(
@@ -120,14 +150,16 @@ def with_neighbour_columns(
     carried: Sequence[str],
     before: int = 0,
     after: int = 0,
+    tie: Column | None = None,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Add window ``columns`` that look at most ``before`` rows back and ``after`` rows ahead.
 
     ``columns`` maps names to expressions over ``group_window(entity, order)``; ``carried`` are
-    the columns these expressions read. ``order`` is a total order within an entity.
+    the columns these expressions read. ``order`` is a total order within an entity; see
+    ``with_chunks`` for ``position`` and ``tie``.
     """
-    chunked = with_chunks(df, entity, position, rows_per_chunk)
+    chunked = with_chunks(df, entity, position, rows_per_chunk, tie).drop(STEP)
     padded = _with_neighbours(chunked, entity, order, carried, before, after)
     result = padded.withColumns(columns).filter(~F.col(EXTRA))
     return result.select(*df.columns, *columns)
@@ -146,6 +178,7 @@ def rolling_mean(
     value: str,
     width: int,
     out: str = "rolling_mean",
+    tie: Column | None = None,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Mean of ``value`` over the row and the ``width - 1`` rows before it, per entity.
@@ -163,6 +196,7 @@ def rolling_mean(
         {out: mean},
         carried=[value],
         before=width - 1,
+        tie=tie,
         rows_per_chunk=rows_per_chunk,
     )
 
@@ -174,6 +208,7 @@ def lag_lead(
     position: Column,
     value: str,
     distance: int = 1,
+    tie: Column | None = None,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Add ``previous`` and ``following``: ``value`` of the rows ``distance`` away, per entity."""
@@ -191,6 +226,7 @@ def lag_lead(
         carried=[value],
         before=distance,
         after=distance,
+        tie=tie,
         rows_per_chunk=rows_per_chunk,
     )
 
@@ -199,40 +235,42 @@ def ranked(
     df: DataFrame,
     entity: Sequence[str],
     value: str,
-    tie: Sequence[str],
+    tie: str,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Add ``row_no``, ``rank_no`` and ``dense_no`` by descending ``value`` within the entity.
 
-    ``tie`` makes the row numbers unique. Ranks are taken per chunk and raised by the number of
-    rows, or of distinct values, in the chunks before it; one added row per chunk brings these
-    numbers along, behind the others, so that the rows are shuffled once.
+    The numeric column ``tie`` makes the row numbers unique. Ranks are taken per chunk and
+    raised by the number of rows, or of distinct values, before it; one added row per chunk
+    brings these numbers along, behind the others, so that the rows are shuffled once.
     """
-    chunked = with_chunks(df, entity, -F.col(value), rows_per_chunk)
-    sizes = chunked.groupBy(*entity, CHUNK).agg(
-        F.count(F.lit(1)).alias("_rows"), F.count_distinct(value).alias("_values")
-    )
-    earlier = (
-        Window.partitionBy(*entity).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    chunked = with_chunks(df, entity, -F.col(value), rows_per_chunk, F.col(tie))
+    sizes = chunked.groupBy(*entity, STEP, CHUNK).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count_distinct(value).alias("_distinct")
     )
+    # The chunks of one step that was cut by the tie hold the same value.
+    first_of_step = F.row_number().over(Window.partitionBy(*entity, STEP).orderBy(CHUNK)) == 1
+    sizes = sizes.withColumn("_values", F.when(first_of_step, F.col("_distinct")).otherwise(0))
+    start = Window.unboundedPreceding
+    earlier_chunks = Window.partitionBy(*entity).orderBy(CHUNK).rowsBetween(start, -1)
+    earlier_steps = Window.partitionBy(*entity).orderBy(STEP).rangeBetween(start, -1)
     offsets = sizes.select(
         *entity,
         CHUNK,
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
-        F.coalesce(F.sum("_values").over(earlier), F.lit(0)).alias("_values_before"),
+        F.coalesce(F.sum("_rows").over(earlier_chunks), F.lit(0)).alias("_rows_before"),
+        F.coalesce(F.sum("_rows").over(earlier_steps), F.lit(0)).alias("_higher_before"),
+        F.coalesce(F.sum("_values").over(earlier_steps), F.lit(0)).alias("_values_before"),
         F.lit(True).alias(EXTRA),
     )
     padded = chunked.withColumn(EXTRA, F.lit(False)).unionByName(offsets, allowMissingColumns=True)
     group = Window.partitionBy(*entity, CHUNK)
     by_value = group.orderBy(EXTRA, F.desc(value))
-    by_row = group.orderBy(EXTRA, F.desc(value), *tie)
-    rows_before = F.max("_rows_before").over(group)
-    values_before = F.max("_values_before").over(group)
+    by_row = group.orderBy(EXTRA, F.desc(value), tie)
     result = padded.withColumns(
         {
-            "row_no": F.row_number().over(by_row) + rows_before,
-            "rank_no": F.rank().over(by_value) + rows_before,
-            "dense_no": F.dense_rank().over(by_value) + values_before,
+            "row_no": F.row_number().over(by_row) + F.max("_rows_before").over(group),
+            "rank_no": F.rank().over(by_value) + F.max("_higher_before").over(group),
+            "dense_no": F.dense_rank().over(by_value) + F.max("_values_before").over(group),
         }
     )
     return result.filter(~F.col(EXTRA)).select(*df.columns, "row_no", "rank_no", "dense_no")

@@ -145,6 +145,7 @@ def rolling_mean(spark, sf_dir):
         windows.seconds_since_epoch("ts"),
         "value",
         3,
+        tie=F.col("event_id"),
     )
     return result.select("event_id", "user_id", "rolling_mean")
 
@@ -160,7 +161,7 @@ def rolling_mean(spark, sf_dir):
 )
 def window_ranks(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    ranked = windows.ranked(orders, ["o_orderstatus"], "o_totalprice", ["o_orderkey"])
+    ranked = windows.ranked(orders, ["o_orderstatus"], "o_totalprice", "o_orderkey")
     return ranked.drop("o_totalprice")
 
 
@@ -179,5 +180,6 @@ def window_lag_lead(spark, sf_dir):
         ["ts", "event_id"],
         windows.seconds_since_epoch("ts"),
         "value",
+        tie=F.col("event_id"),
     )
     return result.select("event_id", "event_type", "previous", "following")

@@ -29,13 +29,18 @@ def rows_per_chunk(request):
     return request.param
 
 
+@pytest.fixture(scope="module", params=[True, False], ids=["cut by tie", "not cut"])
+def tie(request):
+    return F.col("id") if request.param else None
+
+
 def whole(order):
     return Window.partitionBy("entity").orderBy(*order)
 
 
-def test_rolling_mean(series, rows_of, rows_per_chunk):
+def test_rolling_mean(series, rows_of, rows_per_chunk, tie):
     got = windows.rolling_mean(
-        series, ["entity"], ["at", "id"], F.col("at"), "value", 4, rows_per_chunk=rows_per_chunk
+        series, ["entity"], ["at", "id"], F.col("at"), "value", 4, tie=tie, rows_per_chunk=rows_per_chunk
     )
     frame = whole(["at", "id"]).rowsBetween(-3, 0)
     mean = F.when(F.count("value").over(frame) == 4, F.sum("value").over(frame) / 4)
@@ -43,9 +48,9 @@ def test_rolling_mean(series, rows_of, rows_per_chunk):
 
 
 @pytest.mark.parametrize("distance", [1, 3])
-def test_lag_lead(series, rows_of, rows_per_chunk, distance):
+def test_lag_lead(series, rows_of, rows_per_chunk, tie, distance):
     got = windows.lag_lead(
-        series, ["entity"], ["at", "id"], F.col("at"), "value", distance, rows_per_chunk
+        series, ["entity"], ["at", "id"], F.col("at"), "value", distance, tie, rows_per_chunk
     )
     window = whole(["at", "id"])
     expected = series.withColumns(
@@ -58,7 +63,7 @@ def test_lag_lead(series, rows_of, rows_per_chunk, distance):
 
 
 def test_ranks(series, rows_of, rows_per_chunk):
-    got = windows.ranked(series, ["entity"], "value", ["id"], rows_per_chunk)
+    got = windows.ranked(series, ["entity"], "value", "id", rows_per_chunk)
     by_value = Window.partitionBy("entity").orderBy(F.desc("value"))
     expected = series.withColumns(
         {
@@ -70,6 +75,19 @@ def test_ranks(series, rows_of, rows_per_chunk):
     assert rows_of(got) == rows_of(expected)
 
 
+def test_ranks_of_crowded_values(series, rows_of, rows_per_chunk):
+    """A third of the rows of every entity have the same value."""
+    value = F.when(F.col("id") % 7 < 3, 50.0).otherwise(F.col("value"))
+    test_ranks(series.withColumn("value", value), rows_of, rows_per_chunk)
+
+
+def test_a_crowded_moment_is_cut(series):
+    crowd = series.filter("entity = 'hot'").withColumn("at", F.lit(3))
+    chunked = windows.with_chunks(crowd, ["entity"], F.col("at"), 100, F.col("id"))
+    sizes = [row["count"] for row in chunked.groupBy("entity", windows.CHUNK).count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 150
+
+
 def test_chunks_split_a_hot_entity(series):
     chunked = windows.with_chunks(series, ["entity"], F.col("id"), 100)
     sizes = chunked.groupBy("entity", windows.CHUNK).count()
