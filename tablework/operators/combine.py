@@ -74,7 +74,8 @@ def salted_join(
     if salts is None:
         salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_keys(left, on, share, few_rows)
-    row_hash = F.pmod(F.xxhash64(*left.columns), F.lit(salts)) + F.spark_partition_id()
+    hashed = [name for name, kind in left.dtypes if "map<" not in kind]  # maps have no hash
+    row_hash = F.pmod(F.xxhash64(*hashed), F.lit(salts)) + F.spark_partition_id()
     spread = F.pmod(row_hash, F.lit(salts)).cast("int")
     numbers = F.when(is_hot(F.col(on), hot), F.sequence(F.lit(0), F.lit(salts - 1)))
     salted_left = left.withColumn(SALT, F.when(is_hot(F.col(on), hot), spread).otherwise(0))
