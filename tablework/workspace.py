@@ -20,7 +20,8 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(SETTING, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
     application = spark.sparkContext.applicationId
     if application not in _local_roots:
