@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tablework.llm.line_dedup import drop_repeated_lines
 from tablework.llm.mixing import mix_sources
 from tablework.llm.sentence_pieces import encode_documents
+from tablework.llm.simhash import fingerprint_text, near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,3 +115,11 @@ def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op9_simhash")
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", fingerprint_text(F.col("code")).alias("fingerprint"), "component_id"
+    )
