@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablework.llm.language_id import identify_languages
 from tablework.llm.line_dedup import drop_repeated_lines
 from tablework.llm.mixing import mix_sources
 from tablework.llm.sentence_pieces import encode_documents
@@ -123,3 +124,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", fingerprint_text(F.col("code")).alias("fingerprint"), "component_id"
     )
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = identify_languages(table(spark, sf_dir, "documents"), piece_model_path())
+    return judged.select("doc_id", "held_out", "lang_pred", "score")
