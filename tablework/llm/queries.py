@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tablework.llm.language_id import identify_languages
 from tablework.llm.line_dedup import drop_repeated_lines
 from tablework.llm.mixing import mix_sources
+from tablework.llm.sanitize import base_only, n_of_kind, rendered, sanitize
 from tablework.llm.sentence_pieces import encode_documents
 from tablework.llm.simhash import fingerprint_text, near_duplicates
 
@@ -130,3 +131,15 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = identify_languages(table(spark, sf_dir, "documents"), piece_model_path())
     return judged.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op6_personal_data")
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *[n_of_kind(spans, kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")],
+        F.sha2(rendered(base_only(spans)), 256).alias("base_sha256"),
+        rendered(spans).alias("spans"),
+    )
