@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from tablework.llm.language_id import identify_languages
 from tablework.llm.line_dedup import drop_repeated_lines
 from tablework.llm.mixing import mix_sources
+from tablework.llm.neighbours import approximate_neighbours
 from tablework.llm.sanitize import base_only, n_of_kind, rendered, sanitize
 from tablework.llm.sentence_pieces import encode_documents
 from tablework.llm.simhash import fingerprint_text, near_duplicates
+from tablework.llm.topk import exact_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -143,3 +145,31 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(rendered(base_only(spans)), 256).alias("base_sha256"),
         rendered(spans).alias("spans"),
     )
+
+
+TOP_K_SQL = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))
+        AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(
+        list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+    FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+      FROM scored)
+WHERE rank <= 5
+"""
+
+
+@query("op3_exact_top_k", TOP_K_SQL)
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_neighbours")
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return approximate_neighbours(table(spark, sf_dir, "embeddings"))
