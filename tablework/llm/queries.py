@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.llm.language_id import identify_languages
+from tablework.llm.language_model import score_documents
 from tablework.llm.line_dedup import drop_repeated_lines
 from tablework.llm.mixing import mix_sources
 from tablework.llm.neighbours import approximate_neighbours
@@ -173,3 +174,9 @@ def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_neighbours")
 def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return approximate_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_language_model")
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scored.select("doc_id", "n_tokens", "log_prob", "mean_log_prob")
