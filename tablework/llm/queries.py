@@ -15,6 +15,7 @@ from tablework.llm.neighbours import approximate_neighbours
 from tablework.llm.sanitize import base_only, n_of_kind, rendered, sanitize
 from tablework.llm.sentence_pieces import encode_documents
 from tablework.llm.simhash import fingerprint_text, near_duplicates
+from tablework.llm.suffix_dedup import remove_repeats
 from tablework.llm.topk import exact_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +181,11 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return scored.select("doc_id", "n_tokens", "log_prob", "mean_log_prob")
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
