@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablework.operators.combine import salted_join
+from tablework.operators.combine import keyed_join
 
 
 def word_count(df: DataFrame, text: str, word: str = "word", count: str = "n") -> DataFrame:
@@ -35,16 +35,22 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum and maximum per column, from one pass."""
-    long = df.select(*[F.col(name).cast("double") for name in columns]).unpivot(
-        [], list(columns), "column_name", "value"
-    )
-    return long.groupBy("column_name").agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("stddev"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
+    measures = {
+        "n": F.count,
+        "mean": F.avg,
+        "stddev": F.stddev_samp,
+        "low": F.min,
+        "high": F.max,
+    }
+    profile = df.agg(
+        *[
+            F.struct(
+                *[measure(F.col(name).cast("double")).alias(out) for out, measure in measures.items()]
+            ).alias(name)
+            for name in columns
+        ]
     )
+    return profile.unpivot([], list(columns), "column_name", "_m").select("column_name", "_m.*")
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -69,7 +75,7 @@ def impute_group_mean(df: DataFrame, column: str, group: str) -> DataFrame:
     """
     means = df.groupBy(group).agg(F.avg(column).alias("_mean"))
     return (
-        salted_join(df, means, group, "left", null_safe=True)
+        keyed_join(df, means, group, "left", null_safe=True)
         .withColumn(column, F.coalesce(F.col(column), F.col("_mean")))
         .select(df.columns)
     )

@@ -1,92 +1,27 @@
-"""Joins that hold up under hot keys, and guarded unions."""
+"""Joins on a key, and guarded unions."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
-SALT = "_salt"
-HOT_SHARE = 0.0005
-FEW_ROWS = 1_000_000
-
-
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, few_rows: int = FEW_ROWS) -> list:
-    """Keys, NULL included, that hold more than ``share`` of the rows; none in a short table.
-
-    Spark's frequent-items sketch finds every such key, and some others, in one pass without a
-    shuffle; a second pass counts these candidates exactly. There are at most ``1 / share`` of
-    them, however large the table is, so they are broadcast.
-    """
-    n = df.count()
-    if n < few_rows:
-        return []
-    candidates = df.stat.freqItems([key], share).first()[0] or []
-    kind = StructType([StructField("_candidate", df.schema[key].dataType)])
-    few = df.sparkSession.createDataFrame([(value,) for value in candidates], kind)
-    counts = (
-        df.select(key)
-        .join(F.broadcast(few), F.col(key).eqNullSafe(F.col("_candidate")), "left_semi")
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return [row[key] for row in counts.filter(F.col("n") > share * n).collect()]
-
-
-def is_hot(column: Column, hot: Sequence) -> Column:
-    """Whether the value is one of ``hot``, which may hold NULL; never NULL itself."""
-    values = [value for value in hot if value is not None]
-    found = column.isin(values) if values else F.lit(False)
-    if len(values) < len(hot):
-        found = column.isNull() | F.coalesce(found, F.lit(False))
-    return F.coalesce(found, F.lit(False))
-
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: str,
-    how: str = "inner",
-    *,
-    share: float = HOT_SHARE,
-    salts: int | None = None,
-    few_rows: int = FEW_ROWS,
-    null_safe: bool = False,
+def keyed_join(
+    left: DataFrame, right: DataFrame, on: str, how: str = "inner", *, null_safe: bool = False
 ) -> DataFrame:
-    """Join on one key, spreading each hot key of ``left`` over the shuffle partitions.
-
-    A row of ``left`` with a hot key gets one of ``salts`` numbers (by default as many as there
-    are shuffle partitions); the few rows of ``right``
-    with that key are repeated once per number, so every pair still meets exactly once. All
-    other rows get the number 0. The number comes from a hash of the row, moved on by the input
-    partition so that equal rows spread as well; it is the same when a task runs again.
+    """Join on one key; with ``null_safe`` a NULL key meets NULL keys.
 
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``: the rows of ``left`` decide
-    what is kept. ``right`` should be the side with few rows per key. Filter and select before
-    the join: the numbers keep Spark from moving later filters below it.
+    Spark chooses the strategy by measured sizes and splits the crowded partitions of a hot key
+    at run time, so nothing runs before the action. ``how`` is ``inner``, ``left``,
+    ``left_semi`` or ``left_anti``; filters after the join may move below it.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"cannot salt a {how} join")
-    if how in ("left_semi", "left_anti"):
-        right = right.select(on).distinct()
-    if salts is None:
-        salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(left, on, share, few_rows)
-    hashed = [name for name, kind in left.dtypes if "map<" not in kind]  # maps have no hash
-    row_hash = F.pmod(F.xxhash64(*hashed), F.lit(salts)) + F.spark_partition_id()
-    spread = F.pmod(row_hash, F.lit(salts)).cast("int")
-    numbers = F.when(is_hot(F.col(on), hot), F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_left = left.withColumn(SALT, F.when(is_hot(F.col(on), hot), spread).otherwise(0))
-    salted_right = right.withColumn(
-        SALT, F.explode(F.coalesce(numbers, F.array(F.lit(0))))
-    )
+        raise ValueError(f"not a join that the left side decides: {how}")
     if not null_safe:
-        return salted_left.join(salted_right, [on, SALT], how).drop(SALT)
-    renamed = salted_right.withColumnsRenamed({on: "_right_key", SALT: "_right_salt"})
-    same = F.col(on).eqNullSafe(F.col("_right_key")) & (F.col(SALT) == F.col("_right_salt"))
-    return salted_left.join(renamed, same, how).drop(SALT, "_right_key", "_right_salt")
+        return left.join(right, on, how)
+    renamed = right.withColumnRenamed(on, "_right_key")
+    return left.join(renamed, F.col(on).eqNullSafe(F.col("_right_key")), how).drop("_right_key")
 
 
 def union_checked(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablework.operators.combine import salted_join
+from tablework.operators.combine import keyed_join
 
 
 def filter_with(df: DataFrame, condition: str, args: Mapping[str, Any]) -> DataFrame:
@@ -18,12 +18,12 @@ def filter_with(df: DataFrame, condition: str, args: Mapping[str, Any]) -> DataF
 
 def keep_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows whose key occurs in ``keys``: the membership test for lists of any length."""
-    return salted_join(df, keys, on, "left_semi")
+    return keyed_join(df, keys, on, "left_semi")
 
 
 def remove_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows whose key does not occur in ``keys``; rows without a key stay."""
-    return salted_join(df, keys, on, "left_anti")
+    return keyed_join(df, keys, on, "left_anti")
 
 
 def label_slice(df: DataFrame, key: str, first: Any, last: Any) -> DataFrame:

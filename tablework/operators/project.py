@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablework.operators.combine import salted_join
+from tablework.operators.combine import keyed_join
 
 
 def select_except(df: DataFrame, dropped: Sequence[str]) -> DataFrame:
@@ -44,7 +44,7 @@ def apply_corrections(
     """
     fixes = corrections.select(F.col(key), F.col(column).alias("_corrected"))
     return (
-        salted_join(df, fixes, key, "left")
+        keyed_join(df, fixes, key, "left")
         .withColumn(column, F.coalesce("_corrected", column))
         .drop("_corrected")
         .select(df.columns)

@@ -1,102 +1,55 @@
 """Window operators for entities of any size.
 
-A window partitioned by an entity alone puts a hot entity in one task. Here the rows of hot
-entities are cut at quantiles of the order column into chunks of at most about
-``rows_per_chunk`` rows, and windows run per entity and chunk; other entities are one chunk.
-What a row needs from other chunks is added exactly: the neighbouring rows for frames, lag and
-lead, or the counts of the earlier chunks for ranks. A single order value that fills chunks of
-its own is cut further by a second column.
+A window partitioned by an entity alone puts a hot entity in one task. Here the rows are
+range-partitioned by entity and order once, which cuts long entities at sampled bounds, and the
+number of a row's partition is its chunk. Windows run per entity and chunk, and what a row needs
+from other chunks is added exactly: the neighbouring rows for frames, lag and lead, or the counts
+of earlier chunks for ranks. The order decides itself where NULL and NaN stand, in any type; it
+should end in a unique key, so that a crowded value can be cut.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablework.operators.combine import HOT_SHARE, hot_keys, is_hot
+from tablework.workspace import checkpointed
 
 CHUNK = "_chunk"
-STEP = "_step"
 EXTRA = "_extra"
-ROWS_PER_CHUNK = 250_000
-MAX_CHUNKS = 10_000
 
 
-def seconds_since_epoch(column: str) -> Column:
-    """Whole seconds of a timestamp without zone, whatever the session's time zone is."""
-    day = F.datediff(F.col(column).cast("date"), F.lit("1970-01-01").cast("date"))
-    return (
-        day.cast("bigint") * 86400
-        + F.hour(column) * 3600
-        + F.minute(column) * 60
-        + F.second(column)
-    )
+def sort_columns(order: Sequence[str]) -> list[Column]:
+    """Sort expressions; a name with a leading minus sorts descending."""
+    return [F.desc(name[1:]) if name.startswith("-") else F.asc(name) for name in order]
 
 
-def _bucket(df: DataFrame, cuts: Sequence[float], position: str, out: str) -> DataFrame:
-    """Add the number of the interval between ``cuts``; NULL goes behind all values."""
-    bucketizer = Bucketizer(
-        splits=[-math.inf, *cuts, math.inf],
-        inputCol=position,
-        outputCol=out,
-        handleInvalid="keep",
-    )
-    last = F.lit(float(len(cuts) + 1))
-    return bucketizer.transform(df).withColumn(out, F.coalesce(out, last).cast("bigint"))
+def reverse_order(order: Sequence[str]) -> list[Column]:
+    """The exact reverse of ``sort_columns``, NULLs included."""
+    return [
+        F.asc_nulls_first(name[1:]) if name.startswith("-") else F.desc_nulls_last(name)
+        for name in order
+    ]
 
 
 def with_chunks(
-    df: DataFrame,
-    entity: Sequence[str],
-    position: Column,
-    rows_per_chunk: int,
-    tie: Column | None = None,
+    df: DataFrame, entity: Sequence[str], order: Sequence[str], chunks: int | None = None
 ) -> DataFrame:
-    """Add the chunk number of each row, and in STEP the number without the cuts by ``tie``.
+    """Add the chunk number; chunks follow the order within an entity.
 
-    ``position`` is numeric and follows the order, ``tie`` follows it among equal positions.
-    Passes over ``df`` to count it, to find hot entities and to find the cuts, so ``df`` should
-    be cheap to compute again: a scan, or the result of ``checkpointed``.
+    ``chunks`` is the number of range partitions, by default Spark's own choice by size. The
+    rows are written once, so that all later passes see the same cuts.
     """
-    one_chunk = df.withColumns({CHUNK: F.lit(0).cast("bigint"), STEP: F.lit(0).cast("bigint")})
-    n = df.count()
-    if n <= rows_per_chunk:
-        return one_chunk
-    placed = df.withColumns(
-        {
-            "_entity": F.xxhash64(*entity),
-            "_position": position.cast("double"),
-            "_tie": (F.lit(0) if tie is None else tie).cast("double"),
-        }
-    )
-    share = max(rows_per_chunk / n, HOT_SHARE)
-    entities = hot_keys(placed, "_entity", share, rows_per_chunk)
-    if not entities:
-        return one_chunk
-    hot = is_hot(F.col("_entity"), entities)
-    chunks = min(math.ceil(n / rows_per_chunk), MAX_CHUNKS)
-    shares = [number / chunks for number in range(1, chunks)]
+    keys = [F.col(name) for name in entity] + sort_columns(order)
+    ranged = df.repartitionByRange(*([chunks] if chunks else []), *keys)
+    return checkpointed(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
-    def quantiles(rows: DataFrame, column: str) -> list[float]:
-        return rows.approxQuantile(column, shares, 1 / (4 * chunks))
 
-    found = quantiles(placed.filter(hot), "_position")
-    # A value that is a quantile twice fills a chunk: it gets an interval to itself.
-    crowded = sorted({value for value, following in zip(found, found[1:]) if value == following})
-    cuts = sorted({*found, *(math.nextafter(value, math.inf) for value in crowded)})
-    placed = _bucket(placed, cuts, "_position", STEP)
-    placed = placed.withColumn(STEP, F.when(hot, F.col(STEP)).otherwise(0))
-    chunk = F.col(STEP)
-    if tie is not None and crowded:
-        is_crowded = hot & F.coalesce(F.col("_position").isin(crowded), F.lit(False))
-        tie_cuts = sorted(set(quantiles(placed.filter(is_crowded), "_tie")))
-        placed = _bucket(placed, tie_cuts, "_tie", "_sub")
-        chunk = chunk * (len(tie_cuts) + 2) + F.when(is_crowded, F.col("_sub")).otherwise(0)
-    return placed.withColumn(CHUNK, chunk).select(*df.columns, CHUNK, STEP)
+def group_window(entity: Sequence[str], order: Sequence[str]):
+    """The window per entity and chunk."""
+    return Window.partitionBy(*entity, CHUNK).orderBy(*sort_columns(order))
 
 
 def _with_neighbours(
@@ -109,32 +62,31 @@ def _with_neighbours(
 ) -> DataFrame:
     """Add to each chunk the ``before`` rows ahead of it and the ``after`` rows behind it.
 
-    The added rows hold ``order`` and ``carried`` only and are marked in the column EXTRA. Any
+    The added rows hold the order and ``carried`` columns only and are marked in EXTRA. Any
     earlier chunk of an entity has at least one row, so ``before`` chunks hold enough of them.
     """
-    row = F.struct(*order, *carried)
+    names = list(dict.fromkeys([*(name.lstrip("-") for name in order), *carried]))
     result = chunked.withColumn(EXTRA, F.lit(False))
-    sides = [(before, True), (after, False)]
-    for size, backwards in sides:
+    for size, backwards in ((before, True), (after, False)):
         if not size:
             continue
-        direction = [F.desc(name) if backwards else F.asc(name) for name in order]
+        direction = reverse_order(order) if backwards else sort_columns(order)
+        place = F.row_number().over(Window.partitionBy(*entity, CHUNK).orderBy(*direction))
+        # The place comes first in the struct and counts up in the window's own order.
+        step = F.when(F.lit(backwards), -F.col("_n")).otherwise(F.col("_n"))
         edge = (
-            chunked.select(*entity, CHUNK, *order, row.alias("_row"))
-            .withColumn(
-                "_n", F.row_number().over(Window.partitionBy(*entity, CHUNK).orderBy(*direction))
-            )
-            .filter(F.col("_n") <= size)
+            chunked.withColumn("_n", place)
+            .where(F.col("_n") <= size)
             .groupBy(*entity, CHUNK)
-            .agg(F.array_sort(F.collect_list("_row")).alias("_edge"))
+            .agg(F.array_sort(F.collect_list(F.struct(step.alias("_step"), *names))).alias("_edge"))
         )
         chunk_order = Window.partitionBy(*entity).orderBy(CHUNK)
         nearby = chunk_order.rowsBetween(-size, -1) if backwards else chunk_order.rowsBetween(1, size)
         edges = edge.withColumn("_rows", F.flatten(F.collect_list("_edge").over(nearby)))
         first = F.greatest(F.size("_rows") - size + 1, F.lit(1)) if backwards else F.lit(1)
-        added = (
-            edges.select(*entity, CHUNK, F.explode(F.slice("_rows", first, F.lit(size))).alias("_row"))
-            .select(*entity, CHUNK, "_row.*", F.lit(True).alias(EXTRA))
+        wanted = F.explode(F.slice("_rows", first, F.lit(size))).alias("_row")
+        added = edges.select(*entity, CHUNK, wanted).select(
+            *entity, CHUNK, *[F.col(f"_row.{name}") for name in names], F.lit(True).alias(EXTRA)
         )
         result = result.unionByName(added, allowMissingColumns=True)
     return result
@@ -144,42 +96,32 @@ def with_neighbour_columns(
     df: DataFrame,
     entity: Sequence[str],
     order: Sequence[str],
-    position: Column,
     columns: dict[str, Column],
     *,
     carried: Sequence[str],
     before: int = 0,
     after: int = 0,
-    tie: Column | None = None,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Add window ``columns`` that look at most ``before`` rows back and ``after`` rows ahead.
 
     ``columns`` maps names to expressions over ``group_window(entity, order)``; ``carried`` are
-    the columns these expressions read. ``order`` is a total order within an entity; see
-    ``with_chunks`` for ``position`` and ``tie``.
+    the columns these expressions read. ``order`` is a total order within an entity.
     """
-    chunked = with_chunks(df, entity, position, rows_per_chunk, tie).drop(STEP)
+    chunked = with_chunks(df, entity, order, chunks)
     padded = _with_neighbours(chunked, entity, order, carried, before, after)
     result = padded.withColumns(columns).filter(~F.col(EXTRA))
     return result.select(*df.columns, *columns)
 
 
-def group_window(entity: Sequence[str], order: Sequence[str]):
-    """The window the expressions of ``with_neighbour_columns`` run over."""
-    return Window.partitionBy(*entity, CHUNK).orderBy(*order)
-
-
 def rolling_mean(
     df: DataFrame,
     entity: Sequence[str],
     order: Sequence[str],
-    position: Column,
     value: str,
     width: int,
     out: str = "rolling_mean",
-    tie: Column | None = None,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Mean of ``value`` over the row and the ``width - 1`` rows before it, per entity.
 
@@ -189,15 +131,7 @@ def rolling_mean(
     total = F.sum(value).over(frame).cast("double")
     mean = F.when(F.count(value).over(frame) == width, total / F.lit(width))
     return with_neighbour_columns(
-        df,
-        entity,
-        order,
-        position,
-        {out: mean},
-        carried=[value],
-        before=width - 1,
-        tie=tie,
-        rows_per_chunk=rows_per_chunk,
+        df, entity, order, {out: mean}, carried=[value], before=width - 1, chunks=chunks
     )
 
 
@@ -205,11 +139,9 @@ def lag_lead(
     df: DataFrame,
     entity: Sequence[str],
     order: Sequence[str],
-    position: Column,
     value: str,
     distance: int = 1,
-    tie: Column | None = None,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Add ``previous`` and ``following``: ``value`` of the rows ``distance`` away, per entity."""
     window = group_window(entity, order)
@@ -221,56 +153,78 @@ def lag_lead(
         df,
         entity,
         order,
-        position,
         columns,
         carried=[value],
         before=distance,
         after=distance,
-        tie=tie,
-        rows_per_chunk=rows_per_chunk,
+        chunks=chunks,
     )
 
 
 def ranked(
-    df: DataFrame,
-    entity: Sequence[str],
-    value: str,
-    tie: str,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    df: DataFrame, entity: Sequence[str], value: str, tie: str, chunks: int | None = None
 ) -> DataFrame:
     """Add ``row_no``, ``rank_no`` and ``dense_no`` by descending ``value`` within the entity.
 
-    The numeric column ``tie`` makes the row numbers unique. Ranks are taken per chunk and
-    raised by the number of rows, or of distinct values, before it; one added row per chunk
-    brings these numbers along, behind the others, so that the rows are shuffled once.
+    ``tie`` makes the row numbers unique. Ranks are taken per chunk and raised by the rows and
+    distinct values of the chunks before it; rows whose value begins in an earlier chunk get the
+    rank of the place where it begins.
     """
-    chunked = with_chunks(df, entity, -F.col(value), rows_per_chunk, F.col(tie))
-    sizes = chunked.groupBy(*entity, STEP, CHUNK).agg(
-        F.count(F.lit(1)).alias("_rows"), F.count_distinct(value).alias("_distinct")
+    order = [f"-{value}", tie]
+    chunked = with_chunks(df, entity, order, chunks)
+    by_value = Window.partitionBy(*entity, CHUNK).orderBy(F.desc(value))
+    local = chunked.withColumns(
+        {
+            "_row": F.row_number().over(group_window(entity, order)),
+            "_rank": F.rank().over(by_value),
+            "_dense": F.dense_rank().over(by_value),
+        }
     )
-    # The chunks of one step that was cut by the tie hold the same value.
-    first_of_step = F.row_number().over(Window.partitionBy(*entity, STEP).orderBy(CHUNK)) == 1
-    sizes = sizes.withColumn("_values", F.when(first_of_step, F.col("_distinct")).otherwise(0))
-    start = Window.unboundedPreceding
-    earlier_chunks = Window.partitionBy(*entity).orderBy(CHUNK).rowsBetween(start, -1)
-    earlier_steps = Window.partitionBy(*entity).orderBy(STEP).rangeBetween(start, -1)
-    offsets = sizes.select(
-        *entity,
-        CHUNK,
-        F.coalesce(F.sum("_rows").over(earlier_chunks), F.lit(0)).alias("_rows_before"),
-        F.coalesce(F.sum("_rows").over(earlier_steps), F.lit(0)).alias("_higher_before"),
-        F.coalesce(F.sum("_values").over(earlier_steps), F.lit(0)).alias("_values_before"),
-        F.lit(True).alias(EXTRA),
+    sizes = local.groupBy(*entity, CHUNK).agg(
+        F.max("_row").alias("_rows"),
+        F.max("_rank").alias("_last_rank"),
+        F.max("_dense").alias("_values"),
+        F.min_by(value, "_row").alias("_first"),
+        F.max_by(value, "_row").alias("_last"),
     )
-    padded = chunked.withColumn(EXTRA, F.lit(False)).unionByName(offsets, allowMissingColumns=True)
-    group = Window.partitionBy(*entity, CHUNK)
-    by_value = group.orderBy(EXTRA, F.desc(value))
-    by_row = group.orderBy(EXTRA, F.desc(value), tie)
-    result = padded.withColumns(
+    in_order = Window.partitionBy(*entity).orderBy(CHUNK)
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    goes_on = F.lag(CHUNK).over(in_order).isNotNull() & F.col("_first").eqNullSafe(
+        F.lag("_last").over(in_order)
+    )
+    sizes = sizes.withColumns(
+        {
+            "_goes_on": goes_on,
+            "_rows_before": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)),
+        }
+    ).withColumns(
         {
-            "row_no": F.row_number().over(by_row) + F.max("_rows_before").over(group),
-            "rank_no": F.rank().over(by_value) + F.max("_higher_before").over(group),
-            "dense_no": F.dense_rank().over(by_value) + F.max("_values_before").over(group),
+            "_new_values": F.col("_values") - F.col("_goes_on").cast("int"),
+            # Where the chunk's last value begins, unless it has gone on for the whole chunk.
+            "_begin": F.when(
+                ~(F.col("_goes_on") & (F.col("_values") == 1)),
+                F.col("_rows_before") + F.col("_last_rank"),
+            ),
         }
     )
-    return result.filter(~F.col(EXTRA)).select(*df.columns, "row_no", "rank_no", "dense_no")
+    offsets = sizes.select(
+        *[F.col(name).alias(f"_of_{i}") for i, name in enumerate(entity)],
+        F.col(CHUNK).alias("_of_chunk"),
+        "_goes_on",
+        "_rows_before",
+        (F.coalesce(F.sum("_new_values").over(earlier), F.lit(0)) - F.col("_goes_on").cast("int"))
+        .alias("_values_before"),
+        F.last("_begin", ignorenulls=True).over(earlier).alias("_began"),
+    )
+    same = F.col(CHUNK) == F.col("_of_chunk")
+    for i, name in enumerate(entity):
+        same = same & F.col(name).eqNullSafe(F.col(f"_of_{i}"))
+    in_first = F.col("_goes_on") & (F.col("_dense") == 1)
+    return local.join(offsets, same).select(
+        *df.columns,
+        (F.col("_row") + F.col("_rows_before")).alias("row_no"),
+        F.when(in_first, F.col("_began"))
+        .otherwise(F.col("_rank") + F.col("_rows_before"))
+        .alias("rank_no"),
+        (F.col("_dense") + F.col("_values_before")).alias("dense_no"),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablework.operators.combine import salted_join, stack_batches, union_checked
+from tablework.operators.combine import keyed_join, stack_batches, union_checked
 from tablework.plans.registry import query, table
 
 
@@ -20,7 +20,7 @@ def inner_join(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderpriority"
     )
-    return salted_join(lines, orders, "l_orderkey")
+    return keyed_join(lines, orders, "l_orderkey")
 
 
 @query(
@@ -35,7 +35,7 @@ def left_join(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id")
     customers = table(spark, sf_dir, "customer").filter("c_acctbal >= 2000")
     named = customers.select(F.col("c_custkey").alias("user_id"), "c_name", "c_mktsegment")
-    return salted_join(events, named, "user_id", "left")
+    return keyed_join(events, named, "user_id", "left")
 
 
 @query(
@@ -56,7 +56,7 @@ def null_safe_join(spark, sf_dir):
     nations = table(spark, sf_dir, "nation").select(
         F.nullif(F.col("n_nationkey"), unknown).alias("nation"), "n_name"
     )
-    return salted_join(customers, nations, "nation", null_safe=True).select("c_custkey", "n_name")
+    return keyed_join(customers, nations, "nation", null_safe=True).select("c_custkey", "n_name")
 
 
 @query(

@@ -138,18 +138,28 @@ def rolling_mean(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "ts", money("value").alias("value")
     )
-    result = windows.rolling_mean(
-        events,
-        ["user_id"],
-        ["ts", "event_id"],
-        windows.seconds_since_epoch("ts"),
-        "value",
-        3,
-        tie=F.col("event_id"),
-    )
+    result = windows.rolling_mean(events, ["user_id"], ["ts", "event_id"], "value", 3)
     return result.select("event_id", "user_id", "rolling_mean")
 
 
+@query(
+    "w1_rolling_mean_null_order",
+    f"""
+    SELECT o_orderkey, CASE WHEN count(*) OVER w = 3
+               THEN CAST(sum(o_custkey) OVER w AS DOUBLE) / 3 END AS rolling_mean
+    FROM {GAP_SQL}
+    WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_totalprice NULLS FIRST, o_orderkey
+                 ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
+    """,
+)
+def rolling_mean_null_order(spark, sf_dir):
+    """Missing prices as order values, and orders without priority as a group."""
+    order = ["o_totalprice", "o_orderkey"]
+    orders = orders_with_gaps(spark, sf_dir)
+    result = windows.rolling_mean(orders, ["o_orderpriority"], order, "o_custkey", 3)
+    return result.select("o_orderkey", "rolling_mean")
+
+
 @query(
     "window_ranks",
     """
@@ -174,12 +184,34 @@ def window_ranks(spark, sf_dir):
 )
 def window_lag_lead(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
-    result = windows.lag_lead(
-        events,
-        ["event_type"],
-        ["ts", "event_id"],
-        windows.seconds_since_epoch("ts"),
-        "value",
-        tie=F.col("event_id"),
-    )
+    result = windows.lag_lead(events, ["event_type"], ["ts", "event_id"], "value")
     return result.select("event_id", "event_type", "previous", "following")
+
+
+@query(
+    "window_ranks_null_order",
+    f"""
+    SELECT o_orderkey, row_number() OVER (w ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS row_no,
+           rank() OVER (w ORDER BY o_totalprice DESC NULLS LAST) AS rank_no,
+           dense_rank() OVER (w ORDER BY o_totalprice DESC NULLS LAST) AS dense_no
+    FROM {GAP_SQL} WINDOW w AS (PARTITION BY o_orderpriority)
+    """,
+)
+def window_ranks_null_order(spark, sf_dir):
+    orders = orders_with_gaps(spark, sf_dir)
+    ranked = windows.ranked(orders, ["o_orderpriority"], "o_totalprice", "o_orderkey")
+    return ranked.select("o_orderkey", "row_no", "rank_no", "dense_no")
+
+
+@query(
+    "window_lag_lead_null_order",
+    f"""
+    SELECT o_orderkey, lag(o_custkey) OVER w AS previous, lead(o_custkey) OVER w AS following
+    FROM {GAP_SQL}
+    WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_totalprice NULLS FIRST, o_orderkey)
+    """,
+)
+def window_lag_lead_null_order(spark, sf_dir):
+    order = ["o_totalprice", "o_orderkey"]
+    result = windows.lag_lead(orders_with_gaps(spark, sf_dir), ["o_orderstatus"], order, "o_custkey")
+    return result.select("o_orderkey", "previous", "following")

@@ -25,49 +25,53 @@ def right(spark):
     return spark.createDataFrame(rows, "k bigint, v string")
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_join(left, right, rows_of, how):
-    got = combine.salted_join(left, right, "k", how, share=0.05, salts=8, few_rows=0)
-    assert rows_of(got) == rows_of(left.join(right, "k", how))
-
-
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_null_safe_salted_join(left, right, rows_of, how):
-    got = combine.salted_join(left, right, "k", how, share=0.05, salts=8, few_rows=0, null_safe=True)
+def test_null_safe_join(left, right, rows_of, how):
+    got = combine.keyed_join(left, right, "k", how, null_safe=True)
     other = right.withColumnRenamed("k", "rk")
     expected = left.join(other, F.col("k").eqNullSafe(F.col("rk")), how).select("id", "k", "v")
     assert rows_of(got.select("id", "k", "v")) == rows_of(expected)
     assert rows_of(got.filter("v = 'nothing'")) != []
 
 
-def test_hot_keys_are_found_and_few(left):
-    assert set(combine.hot_keys(left, "k", 0.05, few_rows=0)) == {7, None}
-    assert combine.hot_keys(left, "k", 0.05) == []
-
-
-def test_equal_rows_with_a_hot_key_spread(spark):
-    copies = spark.range(0, 8000, 1, 8).select(F.lit(1).alias("k"))
-    other = spark.createDataFrame([(1, "v")], "k int, v string").hint("merge")
-    joined = combine.salted_join(copies, other, "k", salts=8, few_rows=0)
-    assert joined.count() == 8000
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+def test_a_hot_key_is_split_and_nothing_runs_before_the_action(spark):
+    """Half of the left rows have one key; the final plan reads its partition in pieces."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
-        tasks = joined.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+        left = spark.range(0, 200_000, 1, 8).select(
+            "id", F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k")
+        )
+        right = spark.range(0, 50_000, 1, 8).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+        spark.sparkContext.setJobGroup("joining", "joining")
+        joined = combine.keyed_join(left, right, "k")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("joining")
+        assert len(joined.collect()) == 100_000 + 25_000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert max(row["count"] for row in tasks) <= 5000
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def test_repeated_keys_on_the_right_do_not_repeat_rows(spark):
     left = spark.range(10).select((F.col("id") % 2).alias("k"))
     right = spark.range(1000).select(F.lit(1).cast("bigint").alias("k"))
-    assert combine.salted_join(left, right, "k", "left_semi", few_rows=0).count() == 5
-    assert combine.salted_join(left, right, "k", "left_anti", few_rows=0).count() == 5
+    assert combine.keyed_join(left, right, "k", "left_semi").count() == 5
+    assert combine.keyed_join(left, right, "k", "left_anti").count() == 5
 
 
 def test_other_join_kinds_are_refused(left, right):
     with pytest.raises(ValueError):
-        combine.salted_join(left, right, "k", "full")
+        combine.keyed_join(left, right, "k", "full")
 
 
 def test_union_refuses_swapped_columns(spark):
