@@ -40,8 +40,9 @@ def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 20_000) ->
 
 
 def write_lines(df: DataFrame, path: str, separator: str = ",") -> None:
-    """One text line per row; NULL fields are left out, as ``concat_ws`` does."""
-    df.select(F.concat_ws(separator, *df.columns).alias("value")).write.text(path)
+    """One text line per row; a NULL field is an empty one, so that all others keep their place."""
+    fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in df.columns]
+    df.select(F.concat_ws(separator, *fields).alias("value")).write.text(path)
 
 
 def write_files(df: DataFrame, path: str, files: int) -> None:

@@ -43,11 +43,15 @@ def read_json(
 def read_fields(
     spark: SparkSession, path: str, fields: Mapping[str, str], separator: str = ","
 ) -> DataFrame:
-    """Text lines split into typed fields; a missing or unreadable field is NULL."""
-    parts = F.split(F.col("value"), separator)
+    """Text lines split into typed fields; a missing, empty or unreadable field is NULL.
+
+    The separator stands for itself, whatever characters it has.
+    """
+    quoted = "\\Q" + separator.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    parts = F.split(F.col("value"), quoted, -1)
     return spark.read.text(path).select(
         *[
-            F.get(parts, F.lit(index)).try_cast(kind).alias(name)
+            F.nullif(F.get(parts, F.lit(index)), F.lit("")).try_cast(kind).alias(name)
             for index, (name, kind) in enumerate(fields.items())
         ]
     )

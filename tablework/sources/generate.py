@@ -17,9 +17,11 @@ def lookup(
     rows: Sequence[tuple] | Sequence[Mapping[str, Any]],
     schema: StructType | str | Sequence[str],
 ) -> DataFrame:
-    """A short table from tuples or mappings; long ones belong into files."""
+    """A short table from tuples, mappings or a pandas frame; long ones belong into files."""
     if len(rows) > MAX_LOOKUP_ROWS:
         raise ValueError(f"{len(rows)} rows are too many for a literal table")
+    if hasattr(rows, "itertuples"):
+        rows = [tuple(row) for row in rows.astype(object).where(rows.notna(), None).values]
     return spark.createDataFrame(list(rows), schema)
 
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+from collections.abc import Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tablework.versions.changes import write_version
+from tablework.versions.changes import next_version, write_version
 
 MAX_FILES = 1000
 
@@ -29,12 +32,19 @@ def refuse_drift(
     """Raise if the files of ``folder`` together have other columns than ``schema``.
 
     A stream would silently drop a new column. Footers are read in parallel;
-    ``modified_after`` leaves out files that earlier runs have checked.
+    ``modified_after`` (a UTC time) leaves out files that earlier runs have checked.
     """
     reader = spark.read.option("mergeSchema", "true")
     if modified_after is not None:
-        reader = reader.option("modifiedAfter", modified_after)
-    found = {field.name: field.dataType for field in reader.parquet(folder).schema}
+        reader = reader.option("modifiedAfter", modified_after).option("timeZone", "UTC")
+        try:
+            found = {field.name: field.dataType for field in reader.parquet(folder).schema}
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            return  # nothing new
+    else:
+        found = {field.name: field.dataType for field in reader.parquet(folder).schema}
     expected = {field.name: field.dataType for field in schema}
     if found != expected:
         names = sorted(set(found.items()) ^ set(expected.items()), key=str)
@@ -71,14 +81,28 @@ def append_available(stream: DataFrame, path: str, checkpoint: str) -> None:
     start_append(stream, path, checkpoint).awaitTermination()
 
 
-def append_versions(stream: DataFrame, path: str, checkpoint: str, at: datetime) -> None:
-    """Store each batch of new files as one version of a change table and return.
+def append_versions(
+    stream: DataFrame, path: str, checkpoint: str, at: datetime, key: Sequence[str]
+) -> None:
+    """Store each batch of new files as one more version of a change table and return.
 
-    A batch that runs again after a failure replaces the folder of its version.
+    The table may hold versions of others, which stay. The number a batch has taken is noted
+    beside the versions under the stream's checkpoint and the batch's number, so that a batch
+    that runs again after a failure replaces what it wrote itself and nothing else.
     """
+    spark = stream.sparkSession
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:32]
 
     def store(batch: DataFrame, number: int) -> None:
-        write_version(batch, path, number + 1, "I", at, mode="overwrite")
+        note = f"{path}/_batches/{name}-{number}"
+        try:
+            version = int(spark.read.text(note).first()["value"])
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            version = next_version(spark, path)
+            spark.createDataFrame([(str(version),)], "value string").coalesce(1).write.text(note)
+        write_version(batch, path, version, "I", at, key, mode="overwrite")
 
     (
         stream.writeStream.foreachBatch(store)

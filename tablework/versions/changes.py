@@ -3,13 +3,15 @@
 A table is a folder with one sub-folder per version; each row there is a change of one key:
 ``_op`` is I (insert), U (update) or D (delete), ``_at`` the time of the version. Snapshots,
 restores and retention are aggregations over the changes: one pass, combined before the
-shuffle, without a join. There is one writer; a key occurs once per version; all columns can be
-ordered (no maps).
+shuffle, without a join. There is one writer; a key occurs once per version, which writing
+checks; all columns can be ordered (no maps). A version counts once its folder holds the mark of
+a finished write.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -25,18 +27,56 @@ CONTROL = (VERSION, OP, AT)
 
 
 def write_version(
-    rows: DataFrame, path: str, version: int, op: str | None, at: datetime, mode: str = "error"
+    rows: DataFrame,
+    path: str,
+    version: int,
+    op: str | None,
+    at: datetime,
+    key: Sequence[str],
+    mode: str = "error",
 ) -> None:
-    """Store ``rows`` as a version; with ``op=None`` they already carry their own."""
+    """Store ``rows`` as a version; with ``op=None`` they already carry their own.
+
+    Refused if two rows have the same key, as a reader could keep only one of them.
+    """
+    repeated = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
+    if repeated is not None:
+        raise ValueError(f"version {version} holds a key {repeated['n']} times: {repeated}")
     if op is not None:
         rows = rows.withColumn(OP, F.lit(op))
     stamped = rows.withColumn(AT, F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz"))
     stamped.write.mode(mode).parquet(f"{path}/{VERSION}={version}")
 
 
+def _paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit the pattern, in any storage Spark knows."""
+    glob = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    storage = glob.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [str(found.getPath()) for found in storage.globStatus(glob) or []]
+
+
+def _numbers(paths: list[str]) -> list[int]:
+    return sorted(int(re.search(rf"{VERSION}=(\d+)", path).group(1)) for path in paths)
+
+
+def complete_versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions whose write has finished: their own, or that of the whole folder at once."""
+    whole = _paths(spark, f"{path}/_SUCCESS")
+    return _numbers(_paths(spark, f"{path}/{VERSION}=*" + ("" if whole else "/_SUCCESS")))
+
+
+def next_version(spark: SparkSession, path: str) -> int:
+    """A number no version has, finished or not."""
+    return max(_numbers(_paths(spark, f"{path}/{VERSION}=*")), default=0) + 1
+
+
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    """All changes of a table, ``_version`` from the folder names (so that filters prune)."""
-    return spark.read.parquet(path)
+    """All changes of finished versions, ``_version`` from the folder names (filters prune)."""
+    versions = complete_versions(spark, path)
+    if not versions:
+        raise ValueError(f"no finished version in {path}")
+    folders = [f"{path}/{VERSION}={version}" for version in versions]
+    return spark.read.option("basePath", path).parquet(*folders)
 
 
 def latest_version(changes: DataFrame) -> int:
@@ -44,6 +84,12 @@ def latest_version(changes: DataFrame) -> int:
     return changes.agg(F.max(VERSION)).first()[0]
 
 
+def upserting(changes: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``rows`` with ``_op``: U where the key is live, I where it is new."""
+    live = snapshot(changes, key).select(*key, F.lit("U").alias(OP))
+    return rows.join(live, list(key), "left").withColumn(OP, F.coalesce(OP, F.lit("I")))
+
+
 def _payload(changes: DataFrame, key: Sequence[str]) -> list[str]:
     return [name for name in changes.columns if name not in {*key, *CONTROL}]
 

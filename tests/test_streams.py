@@ -1,4 +1,5 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,15 +40,26 @@ def test_drift_is_refused(spark, folders):
         incremental.refuse_drift(spark, folders["landing"], schema)
 
 
-def test_a_repeated_batch_replaces_its_version(spark, folders):
-    """Without its progress the stream starts again; the versions are written over, not added."""
+def test_streams_never_overwrite_what_others_wrote(spark, folders):
+    """A table with a version, a stream, the same batch again, and a stream from the beginning."""
+    at, key = datetime(2024, 1, 1), ["id"]
     rows = spark.range(20).withColumn("v", F.col("id") * 2)
+    older = spark.range(100, 105).withColumn("v", F.col("id"))
+    v.write_version(older, folders["sink"], 1, "I", at, key)
     rows.write.parquet(folders["landing"])
-    for progress in ("first", "second"):
+
+    def run(progress):
         stream = incremental.new_files(spark, folders["landing"], rows.schema)
-        incremental.append_versions(
-            stream, folders["sink"], f"{folders['progress']}-{progress}", datetime(2024, 1, 1)
-        )
+        incremental.append_versions(stream, folders["sink"], f"{folders['progress']}-{progress}", at, key)
+        return v.complete_versions(spark, folders["sink"])
+
+    assert run("first") == [1, 2]
+    assert run("first") == [1, 2]
+    commits = Path(f"{folders['progress']}-first".removeprefix("file:")) / "commits"
+    for commit in [*commits.glob("0"), *commits.glob(".0.crc")]:
+        commit.rename(commit.with_name(f"lost-{commit.name}"))  # the batch must run again
+    assert run("first") == [1, 2]
+    assert run("second") == [1, 2, 3]
     changes = v.read_changes(spark, folders["sink"])
-    assert changes.count() == 20
-    assert v.snapshot(changes, ["id"]).exceptAll(rows).count() == 0
+    assert changes.count() == 5 + 20 + 20
+    assert v.snapshot(changes, key).exceptAll(rows.unionByName(older)).count() == 0

@@ -1,4 +1,5 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,13 +17,13 @@ def path(spark):
     """1 inserts 0..99; 2 deletes 0..9; 3 changes 5..29 (some come back); 4 deletes 90..99."""
     path = new_path(spark, "versions")
     base = spark.range(100).select("id", F.lit("a").alias("s"), F.col("id").cast("double").alias("v"))
-    v.write_version(base, path, 1, "I", AT)
-    v.write_version(base.filter("id < 10"), path, 2, "D", AT)
+    v.write_version(base, path, 1, "I", AT, KEY)
+    v.write_version(base.filter("id < 10"), path, 2, "D", AT, KEY)
     changed = base.filter("id BETWEEN 5 AND 29").withColumns(
         {"s": F.lit(None).cast("string"), "v": F.col("v") + 0.5}
     )
-    v.write_version(changed, path, 3, "U", AT)
-    v.write_version(base.filter("id >= 90"), path, 4, "D", AT)
+    v.write_version(changed, path, 3, "U", AT, KEY)
+    v.write_version(base.filter("id >= 90"), path, 4, "D", AT, KEY)
     return path
 
 
@@ -44,8 +45,8 @@ def test_restoring_gives_the_version_back(spark, changes, rows_of, version):
     path = new_path(spark, "restored")
     for number in range(1, 5):
         rows = changes.filter(F.col(v.VERSION) == number).drop(v.VERSION, v.AT)
-        v.write_version(rows, path, number, None, AT)
-    v.write_version(fixes, path, 5, None, AT)
+        v.write_version(rows, path, number, None, AT, KEY)
+    v.write_version(fixes, path, 5, None, AT, KEY)
     now = v.snapshot(v.read_changes(spark, path), KEY)
     assert rows_of(now) == rows_of(v.snapshot(changes, KEY, version))
     assert fixes.count() == {1: 40, 2: 35, 3: 10, 4: 0}[version]
@@ -67,7 +68,34 @@ def test_history_counts_changes(changes):
 
 def test_a_version_is_written_once(spark, path):
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        v.write_version(spark.range(1), path, 4, "I", AT)
+        v.write_version(spark.range(1), path, 4, "I", AT, KEY)
+
+
+def test_unfinished_versions_are_not_read(spark, path, changes, rows_of):
+    started = f"{path}/{v.VERSION}=5/part-00000.parquet".removeprefix("file:")
+    source = changes.filter("id < 3").drop(v.VERSION).coalesce(1)
+    staged = new_path(spark, "staged")
+    source.write.parquet(staged)
+    file = next(Path(staged.removeprefix("file:")).glob("part-*.parquet"))
+    Path(started).parent.mkdir()
+    Path(started).write_bytes(file.read_bytes())
+    assert v.complete_versions(spark, path) == [1, 2, 3, 4]
+    assert v.next_version(spark, path) == 6
+    assert rows_of(v.read_changes(spark, path)) == rows_of(changes)
+
+
+def test_two_rows_with_one_key_are_refused(spark):
+    path = new_path(spark, "twice")
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "id long, s string")
+    with pytest.raises(ValueError, match="2 times"):
+        v.write_version(twice, path, 1, "I", AT, KEY)
+    assert v.complete_versions(spark, path) == []
+
+
+def test_upserts_tell_new_from_changed(spark, changes):
+    rows = spark.createDataFrame([(50, "x", 1.0), (95, "x", 1.0), (500, "x", 1.0)], "id long, s string, v double")
+    ops = {row["id"]: row[v.OP] for row in v.upserting(changes, rows, KEY).collect()}
+    assert ops == {50: "U", 95: "I", 500: "I"}
 
 
 def test_compacting_keeps_rows_in_fewer_files(spark, changes, rows_of):
