@@ -1,8 +1,10 @@
 """Exact percentiles without sorting a column or gathering it in one task.
 
-Each pass counts the rows per bucket of the value ranges that still hold a wanted rank, and
-narrows each range to one bucket. A pass is one aggregation that combines before its shuffle,
-and what reaches the driver is bounded by ``ranks x BUCKETS`` counts, however many rows there are.
+A quantile sketch of all columns bounds the values around every wanted rank. The rows inside
+these bounds, a fixed small share whatever the distribution is, are counted per value and
+written; what lies below the bounds is only counted. The ranks are then found among the written
+values, with further sketches until few enough are left for the driver. The table itself is read
+three times.
 """
 
 from __future__ import annotations
@@ -11,21 +13,30 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 512
+from tablework.workspace import checkpointed
+
+#: A sketch places a value within this share of the rows; bounds are taken three times as wide.
+ACCURACY = 10_000
+#: Columns with fewer rows lie inside their bounds as a whole, where a sketch is coarser than a rank.
+SHORT = 5 * ACCURACY
+#: Distinct values that the driver may look through.
+FEW_VALUES = 100_000
+#: Where the values between are cut while they are more.
+CUTS = [i / 100 for i in range(1, 100)]
 
 
 @dataclass
-class Range:
-    """The value at ``rank`` (0-based) of ``column`` lies in [low, high]; ``below`` are less."""
+class Rank:
+    """The value at ``rank`` (0-based) of a column lies in [low, high]; ``below`` are less."""
 
     column: str
     rank: int
     low: float
     high: float
-    below: int
+    below: int = 0
 
 
 def exact_percentiles(
@@ -36,77 +47,131 @@ def exact_percentiles(
     NULL and NaN are left out. A column without values gives NULL.
     """
     spark = df.sparkSession
-    values = df.select(*[F.col(name).cast("double") for name in columns]).unpivot(
-        [], list(columns), "column_name", "value"
-    )
-    values = values.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    bounds = {
-        row["column_name"]: row
-        for row in values.groupBy("column_name")
-        .agg(F.count("value").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .collect()
-    }
-    if any(math.isinf(row["low"]) or math.isinf(row["high"]) for row in bounds.values()):
+    values = df.select(*[_numbers(name) for name in columns])
+    sizes, bounds = _bounds(values, columns, shares)
+    if any(math.isinf(value) for pair in bounds.values() for value in pair[0]):
         raise ValueError("percentiles need finite values")
-    ranges = [
-        Range(name, rank, row["low"], row["high"], 0)
-        for name, row in bounds.items()
-        for rank in sorted({r for share in shares for r in _neighbours(share, row["n"])})
+    ranks = [
+        Rank(name, rank, *bounds[name][1][share])
+        for name in bounds
+        for share in shares
+        for rank in sorted(set(_neighbours(share, sizes[name])))
     ]
-    while any(r.low < r.high for r in ranges):
-        ranges = _narrow(values, ranges)
-    at = {(r.column, r.rank): r.low for r in ranges}
-
+    at = _search(values, ranks)
     result = []
     for name in columns:
         for share in shares:
             value = None
             if name in bounds:
-                position = share * (bounds[name]["n"] - 1)
-                under, over = _neighbours(share, bounds[name]["n"])
+                position = share * (sizes[name] - 1)
+                under, over = _neighbours(share, sizes[name])
                 low, high = at[name, under], at[name, over]
                 value = low + (high - low) * (position - under)
             result.append((name, float(share), value))
     return spark.createDataFrame(result, "column_name string, share double, value double")
 
 
+def _numbers(name: str) -> Column:
+    value = F.col(name).cast("double")
+    return F.when(~F.isnan(value), value).alias(name)
+
+
 def _neighbours(share: float, n: int) -> tuple[int, int]:
     position = share * (n - 1)
     return math.floor(position), math.ceil(position)
 
 
-def _narrow(values: DataFrame, ranges: list[Range]) -> list[Range]:
-    """One pass: replace each open range by the bucket of it that holds its rank."""
-    open_ranges = sorted({(r.column, r.low, r.high) for r in ranges if r.low < r.high})
-    # A value lies in few open ranges; ranges of one column are equal or do not overlap.
-    number = F.lit(None).cast("int")
-    start, width = F.lit(None).cast("double"), F.lit(None).cast("double")
-    for index, (column, low, high) in enumerate(open_ranges):
-        inside = (F.col("column_name") == column) & F.col("value").between(low, high)
-        number = F.when(inside, F.lit(index)).otherwise(number)
-        start = F.when(inside, F.lit(low)).otherwise(start)
-        # Halves first, so that the width of a very wide range stays finite.
-        width = F.when(inside, F.lit(high / 2 - low / 2)).otherwise(width)
-    part = F.floor((F.col("value") / 2 - F.col("_start") / 2) / F.col("_width") * BUCKETS)
-    counted = (
-        values.withColumns({"_range": number, "_start": start, "_width": width})
-        .filter(F.col("_range").isNotNull())
-        .groupBy("_range", part.alias("_part"))
-        .agg(F.count("value").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .collect()
+def _around(share: float) -> list[float]:
+    return [max(0.0, share - 3 / ACCURACY), min(1.0, share + 3 / ACCURACY)]
+
+
+def _bounds(values: DataFrame, columns: Sequence[str], shares: Sequence[float]):
+    """One pass: sizes, and per column its ends and the bounds around each share."""
+    around = [edge for share in shares for edge in _around(share)]
+    measures = []
+    for name in columns:
+        measures += [
+            F.count(name).alias(f"n_{name}"),
+            F.min(name).alias(f"low_{name}"),
+            F.max(name).alias(f"high_{name}"),
+            F.percentile_approx(name, around, ACCURACY).alias(f"at_{name}"),
+        ]
+    row = values.agg(*measures).first()
+    sizes, bounds = {}, {}
+    for name in columns:
+        sizes[name] = row[f"n_{name}"]
+        if not sizes[name]:
+            continue
+        low, high, found = row[f"low_{name}"], row[f"high_{name}"], row[f"at_{name}"]
+        pairs = {}
+        for i, share in enumerate(shares):
+            wide = [0.0, 1.0] if sizes[name] < SHORT else _around(share)
+            pairs[share] = (
+                low if wide[0] == 0.0 else found[2 * i],
+                high if wide[1] == 1.0 else found[2 * i + 1],
+            )
+        bounds[name] = ((low, high), pairs)
+    return sizes, bounds
+
+
+def _search(values: DataFrame, ranks: list[Rank]) -> dict[tuple[str, int], float]:
+    """The value at each rank."""
+    stretches = sorted({(r.column, r.low, r.high) for r in ranks})
+    if not stretches:
+        return {}
+    below = values.agg(
+        *[F.count_if(F.col(name) < low).alias(f"b{i}") for i, (name, low, _) in enumerate(stretches)]
+    ).first()
+    inside = F.array(
+        *[
+            F.when(
+                F.col(name).between(low, high),
+                F.struct(F.lit(i).alias("stretch"), F.col(name).alias("value")),
+            )
+            for i, (name, low, high) in enumerate(stretches)
+        ]
+    )
+    counted = checkpointed(
+        values.select(F.explode(F.filter(inside, lambda item: item.isNotNull())).alias("item"))
+        .groupBy("item.stretch", "item.value")
+        .agg(F.count(F.lit(1)).alias("n")),
+        "percentiles",
     )
-    buckets: dict[tuple, list] = {}
-    for row in sorted(counted, key=lambda row: (row["_range"], row["low"])):
-        buckets.setdefault(open_ranges[row["_range"]], []).append(row)
-
-    narrowed = []
-    for r in ranges:
-        below = r.below
-        for row in buckets.get((r.column, r.low, r.high), []):
-            if r.rank < below + row["n"]:
-                narrowed.append(Range(r.column, r.rank, row["low"], row["high"], below))
-                break
-            below += row["n"]
-        else:
-            narrowed.append(r)
-    return narrowed
+    at = {}
+    few = None
+    if counted.count() <= FEW_VALUES:
+        few = sorted(counted.select("stretch", "value", "n").collect())
+    for i, stretch in enumerate(stretches):
+        own = [row[1:] for row in few if row[0] == i] if few is not None else None
+        for r in ranks:
+            if (r.column, r.low, r.high) == stretch:
+                rank = r.rank - below[i]
+                rows = counted.where(F.col("stretch") == i)
+                at[r.column, r.rank] = _at_rank(own, rank) if own is not None else _pick(rows, rank)
+    return at
+
+
+def _at_rank(rows: list[tuple[float, int]], rank: int) -> float:
+    for value, n in rows:
+        if rank < n:
+            return value
+        rank -= n
+    raise AssertionError("a sketch has missed a rank")
+
+
+def _pick(counted: DataFrame, rank: int) -> float:
+    """The value at ``rank`` among distinct values with their numbers of rows."""
+    while counted.count() > FEW_VALUES:
+        cuts = counted.agg(F.percentile_approx("value", CUTS, ACCURACY)).first()[0]
+        weights = [
+            F.coalesce(F.sum(F.when(F.col("value") < cut, F.col("n"))), F.lit(0)) for cut in cuts
+        ]
+        before = counted.agg(*[w.alias(f"w{i}") for i, w in enumerate(weights)]).first()
+        first = max((i for i, weight in enumerate(before) if weight <= rank), default=None)
+        if first is not None:
+            counted = counted.where(F.col("value") >= cuts[first])
+            rank -= before[first]
+        following = 0 if first is None else first + 1
+        if following < len(cuts):
+            counted = counted.where(F.col("value") < cuts[following])
+    return _at_rank(sorted(tuple(row) for row in counted.select("value", "n").collect()), rank)

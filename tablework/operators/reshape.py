@@ -8,6 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def known_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
+    """``df``, with an error for a row whose ``column`` is none of ``values``.
+
+    A pivot over named values would leave such rows out without a word.
+    """
+    message = F.concat(F.lit(f"{column} is not listed: "), F.coalesce(column, F.lit("NULL")))
+    listed = F.coalesce(F.col(column).isin(list(values)), F.lit(False))
+    return df.withColumn(column, F.when(listed, F.col(column)).otherwise(F.raise_error(message)))
+
+
 def pivot_sum(
     df: DataFrame, index: Sequence[str], column: str, values: Sequence[str], summed: str
 ) -> DataFrame:

@@ -129,6 +129,20 @@ def value_counts(spark, sf_dir):
     return aggregate.value_counts(orders_with_gaps(spark, sf_dir), "o_orderstatus")
 
 
+@query(
+    "a9_count_distinct",
+    """
+    SELECT l_returnflag, count(DISTINCT l_shipdate) AS n_days, count(DISTINCT l_partkey) AS n_parts
+    FROM lineitem GROUP BY l_returnflag
+    """,
+)
+def count_distinct(spark, sf_dir):
+    """Distinct values per group; each value leaves a task once."""
+    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(
+        F.count_distinct("l_shipdate").alias("n_days"), F.count_distinct("l_partkey").alias("n_parts")
+    )
+
+
 @query("a9_distinct_values", "SELECT DISTINCT l_shipdate, l_returnflag FROM lineitem")
 def distinct_values(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_shipdate", "l_returnflag").distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -46,6 +46,23 @@ def as_of(spark, sf_dir):
     )
 
 
+@query(
+    "d2_today",
+    "SELECT count(*) AS n_rows, true AS today_is_now, true AS moment_is_now, true AS all_past FROM orders",
+)
+def live_today(spark, sf_dir):
+    """The session's own day and moment, against the driver's clock (a day apart at midnight)."""
+    clock = datetime.now(timezone.utc).replace(tzinfo=None)
+    near = [F.lit(clock.date() + timedelta(days=day)) for day in (-1, 0, 1)]
+    apart = F.datediff(dates.now(), F.lit(clock.isoformat(sep=" ")).cast("timestamp_ntz"))
+    return table(spark, sf_dir, "orders").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.bool_and(dates.today().isin(near)).alias("today_is_now"),
+        F.bool_and(F.abs(apart) <= 1).alias("moment_is_now"),
+        F.bool_and(F.col("o_orderdate") < dates.now()).alias("all_past"),
+    )
+
+
 @query(
     "d3_date_parts",
     """
@@ -69,15 +86,15 @@ def weekday(spark, sf_dir):
 @query(
     "d5_add_and_subtract_days",
     """
-    SELECT o_orderkey, strftime(o_orderdate::DATE + 90, '%Y-%m-%d') AS later,
-           strftime(o_orderdate::DATE - 30, '%Y-%m-%d') AS earlier FROM orders
+    SELECT o_orderkey, strftime(o_orderdate::DATE + 45, '%Y-%m-%d') AS later,
+           strftime(o_orderdate::DATE - 17, '%Y-%m-%d') AS earlier FROM orders
     """,
 )
 def add_and_subtract_days(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        _day_text(F.date_add(F.col("o_orderdate").cast("date"), 90)).alias("later"),
-        _day_text(F.date_sub(F.col("o_orderdate").cast("date"), 30)).alias("earlier"),
+        _day_text(F.date_add(F.col("o_orderdate").cast("date"), 45)).alias("later"),
+        _day_text(F.date_sub(F.col("o_orderdate").cast("date"), 17)).alias("earlier"),
     )
 
 
@@ -113,13 +130,13 @@ def months_between(spark, sf_dir):
 @query(
     "d8_date_format",
     """
-    SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y') AS slashes,
-           strftime(o_orderdate, '%b %d, %Y') AS readable, strftime(o_orderdate, '%Y-%m') AS month
+    SELECT o_orderkey, strftime(o_orderdate, '%Y.%m.%d') AS dotted,
+           strftime(o_orderdate, '%A, %d %B') AS spoken, strftime(o_orderdate, '%j/%y') AS day_of_year
     FROM orders
     """,
 )
 def date_format(spark, sf_dir):
-    patterns = {"slashes": "dd/MM/yyyy", "readable": "MMM dd, yyyy", "month": "yyyy-MM"}
+    patterns = {"dotted": "yyyy.MM.dd", "spoken": "EEEE, dd MMMM", "day_of_year": "DDD/yy"}
     return table(spark, sf_dir, "orders").select(
         "o_orderkey",
         *[F.date_format("o_orderdate", pattern).alias(name) for name, pattern in patterns.items()],

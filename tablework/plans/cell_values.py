@@ -29,38 +29,47 @@ def round_half_up(spark, sf_dir):
 
 @query(
     "n2_two_branches",
-    f"SELECT o_orderkey, CASE WHEN o_totalprice > 250000 THEN 'high' ELSE 'normal' END AS flag FROM {GAP_SQL}",
+    f"SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'closed' ELSE 'to do' END AS state FROM {GAP_SQL}",
 )
 def two_branches(spark, sf_dir):
-    flag = F.when(F.col("o_totalprice") > 250000, "high").otherwise("normal")
-    return orders_with_gaps(spark, sf_dir).select("o_orderkey", flag.alias("flag"))
+    """A NULL status fails the test and falls to the other branch."""
+    state = F.when(F.col("o_orderstatus") == "F", "closed").otherwise("to do")
+    return orders_with_gaps(spark, sf_dir).select("o_orderkey", state.alias("state"))
 
 
 @query(
     "n3_first_match",
     f"""
-    SELECT o_orderkey, CASE WHEN o_totalprice IS NULL THEN 'unknown' WHEN o_totalprice >= 400000 THEN 'high'
-                            WHEN o_totalprice >= 200000 THEN 'medium' ELSE 'low' END AS band
+    SELECT o_orderkey, CASE WHEN o_totalprice IS NULL THEN 'no quote' WHEN o_totalprice >= 350000 THEN 'board approval'
+                            WHEN o_totalprice >= 120000 THEN 'two signatures'
+                            WHEN o_totalprice >= 75000 THEN 'one signature' ELSE 'petty cash' END AS approval
     FROM {GAP_SQL}
     """,
 )
 def first_match(spark, sf_dir):
-    band = values.band("o_totalprice", [(400000, "high"), (200000, "medium")], "low", "unknown")
-    return orders_with_gaps(spark, sf_dir).select("o_orderkey", band.alias("band"))
+    steps = [(350000, "board approval"), (120000, "two signatures"), (75000, "one signature")]
+    approval = values.band("o_totalprice", steps, "petty cash", "no quote")
+    return orders_with_gaps(spark, sf_dir).select("o_orderkey", approval.alias("approval"))
 
 
 @query(
     "n4_several_columns",
     """
-    SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' AND c_acctbal > 5000 THEN 'yes' ELSE 'no' END AS review
-    FROM customer
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' AND o_orderpriority IN ('1-URGENT', '2-HIGH')
+                                 AND o_orderdate < TIMESTAMP '1998-01-01' THEN 'overdue'
+                            WHEN o_orderstatus = 'O' OR o_orderpriority = '1-URGENT' THEN 'watch'
+                            ELSE 'done' END AS follow_up
+    FROM orders
     """,
 )
 def several_columns(spark, sf_dir):
-    wanted = (F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") > 5000)
-    return table(spark, sf_dir, "customer").select(
-        "c_custkey", F.when(wanted, "yes").otherwise("no").alias("review")
+    is_open, priority = F.col("o_orderstatus") == "O", F.col("o_orderpriority")
+    old = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    overdue = is_open & priority.isin("1-URGENT", "2-HIGH") & old
+    follow_up = (
+        F.when(overdue, "overdue").when(is_open | (priority == "1-URGENT"), "watch").otherwise("done")
     )
+    return table(spark, sf_dir, "orders").select("o_orderkey", follow_up.alias("follow_up"))
 
 
 @query(
@@ -85,7 +94,7 @@ def sql_case(spark, sf_dir):
     "n7_mapped_values",
     """
     SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' END AS status,
-           CASE WHEN o_totalprice >= 300000 THEN 'A' WHEN o_totalprice >= 100000 THEN 'B' ELSE 'C' END AS grade
+           CASE WHEN o_custkey >= 1000 THEN 'late joiner' WHEN o_custkey >= 50 THEN 'settled' ELSE 'founder' END AS cohort
     FROM orders
     """,
 )
@@ -93,7 +102,7 @@ def mapped_values(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
         "o_orderkey",
         values.mapped("o_orderstatus", {"F": "finished", "O": "open"}).alias("status"),
-        values.band("o_totalprice", [(300000, "A"), (100000, "B")], "C").alias("grade"),
+        values.band("o_custkey", [(1000, "late joiner"), (50, "settled")], "founder").alias("cohort"),
     )
 
 
@@ -294,29 +303,58 @@ def map_filter_flat_map(spark, sf_dir):
     return rows.withColumn("n_chars", F.length("word").cast("bigint"))
 
 
+#: Whole numbers from here on have no exact double.
+BIG = 2**53
+
+
 @query(
     "g2_value_function",
-    "SELECT c_custkey, CASE WHEN c_acctbal >= 8000 THEN 'A' WHEN c_acctbal >= 3000 THEN 'B' ELSE 'C' END AS grade FROM customer",
+    f"""
+    SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'none'
+                           ELSE CAST(1 + ({BIG} + c_custkey - 1) % 9 AS VARCHAR) END AS root
+    FROM customer
+    """,
 )
 def value_function(spark, sf_dir):
-    """An arbitrary Python function on a column, in Arrow batches."""
-    grade = udfs.value_function(
-        lambda balance: "A" if balance >= 8000 else "B" if balance >= 3000 else "C", "string"
-    )
-    customers = table(spark, sf_dir, "customer")
-    return customers.select("c_custkey", grade("c_acctbal").alias("grade"))
+    """A loop no built-in has: sums of digits until one digit is left, on numbers and NULL."""
+
+    def digital_root(number):
+        if number is None:
+            return "none"
+        while number > 9:
+            number = sum(map(int, str(number)))
+        return str(number)
+
+    number = F.when(F.col("c_custkey") % 7 != 0, F.col("c_custkey") + F.lit(BIG))
+    root = udfs.value_function(digital_root, "string")
+    return table(spark, sf_dir, "customer").select("c_custkey", root(number).alias("root"))
 
 
 @query(
     "g3_row_function",
-    "SELECT s_suppkey, s_name || ' of nation ' || s_nationkey AS line FROM supplier",
+    f"""
+    SELECT s_suppkey, CASE WHEN s_suppkey % 5 <> 0 THEN {BIG} + s_suppkey END AS number,
+           CASE WHEN s_suppkey % 5 <> 0 THEN gcd({BIG} + s_suppkey, s_nationkey + 6) END AS common
+    FROM supplier WHERE s_suppkey % 3 <> 0
+    """,
 )
 def row_function(spark, sf_dir):
-    """An arbitrary Python function on whole rows, in Arrow batches."""
-    return udfs.map_rows(
-        table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey"),
-        lambda row: [
-            {"s_suppkey": row["s_suppkey"], "line": f"{row['s_name']} of nation {row['s_nationkey']}"}
-        ],
-        "s_suppkey bigint, line string",
+    """Whole rows through Python: Euclid's loop, no row at all for some, large numbers and NULL."""
+
+    def common_divisor(row):
+        if row["s_suppkey"] % 3 == 0:
+            return
+        number, rest = row["number"], row["s_nationkey"] + 6
+        if number is not None:
+            larger = number
+            while rest:
+                larger, rest = rest, larger % rest
+            yield {"s_suppkey": row["s_suppkey"], "number": number, "common": larger}
+        else:
+            yield {"s_suppkey": row["s_suppkey"], "number": None, "common": None}
+
+    number = F.when(F.col("s_suppkey") % 5 != 0, F.col("s_suppkey") + F.lit(BIG))
+    suppliers = table(spark, sf_dir, "supplier").select(
+        "s_suppkey", "s_nationkey", number.alias("number")
     )
+    return udfs.map_rows(suppliers, common_divisor, "s_suppkey bigint, number bigint, common bigint")

@@ -36,10 +36,11 @@ MESSY_SQL = """(
               WHEN c_acctbal < 5000 THEN lower(replace(c_name, '#', ' no ')) || '   '
               ELSE c_name END AS raw_name,
          CASE WHEN c_acctbal < -500 THEN NULL
-              WHEN c_acctbal < 2500 THEN '+91-98' || lpad(c_custkey::VARCHAR, 3, '0') || '-4321' || (c_nationkey % 10)
-              WHEN c_acctbal < 5000 THEN '098-' || lpad(c_custkey::VARCHAR, 4, '0') || '-3211'
-              WHEN c_acctbal < 7500 THEN '+91 98' || lpad(c_custkey::VARCHAR, 3, '0') || ' 43212'
-              ELSE '98' || lpad(c_custkey::VARCHAR, 8, '0') END AS raw_phone,
+              WHEN c_acctbal < 3000 THEN 'tel ' || lpad(c_custkey::VARCHAR, 11, '2')
+              WHEN c_acctbal < 6000 THEN '(' || lpad(c_custkey::VARCHAR, 3, '5') || ') '
+                   || lpad(c_custkey::VARCHAR, 4, '6') || ' ' || lpad(c_custkey::VARCHAR, 5, '7')
+              ELSE lpad(c_custkey::VARCHAR, 2, '3') || '-' || lpad(c_custkey::VARCHAR, 5, '4') || '-'
+                   || lpad(c_custkey::VARCHAR, 4, '8') END AS raw_phone,
          replace(c_name, '#', '.') || '@' || c_mktsegment || '.COM' AS mail
   FROM customer)"""
 
@@ -48,7 +49,6 @@ def messy_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with untidy names, phone numbers in four formats and mail addresses."""
     name, balance = F.col("c_name"), F.col("c_acctbal")
     key = F.col("c_custkey").cast("string")
-    digit = F.pmod("c_nationkey", F.lit(10)).cast("string")
     return table(spark, sf_dir, "customer").select(
         "c_custkey",
         "c_mktsegment",
@@ -57,10 +57,15 @@ def messy_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(name)
         .alias("raw_name"),
         F.when(balance < -500, F.lit(None))
-        .when(balance < 2500, F.concat(F.lit("+91-98"), F.lpad(key, 3, "0"), F.lit("-4321"), digit))
-        .when(balance < 5000, F.concat(F.lit("098-"), F.lpad(key, 4, "0"), F.lit("-3211")))
-        .when(balance < 7500, F.concat(F.lit("+91 98"), F.lpad(key, 3, "0"), F.lit(" 43212")))
-        .otherwise(F.concat(F.lit("98"), F.lpad(key, 8, "0")))
+        .when(balance < 3000, F.concat(F.lit("tel "), F.lpad(key, 11, "2")))
+        .when(
+            balance < 6000,
+            F.concat(
+                F.lit("("), F.lpad(key, 3, "5"), F.lit(") "), F.lpad(key, 4, "6"), F.lit(" "),
+                F.lpad(key, 5, "7"),
+            ),
+        )
+        .otherwise(F.concat_ws("-", F.lpad(key, 2, "3"), F.lpad(key, 5, "4"), F.lpad(key, 4, "8")))
         .alias("raw_phone"),
         F.concat(
             F.replace(name, F.lit("#"), F.lit(".")), F.lit("@"), F.col("c_mktsegment"), F.lit(".COM")

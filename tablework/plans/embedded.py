@@ -7,7 +7,8 @@ that comes with Spark, in the memory of the one process; it opens no port.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablework.workspace import new_name, shared_root
 
@@ -31,6 +32,11 @@ def database_url(spark: SparkSession) -> tuple[str, dict[str, str]]:
     return f"jdbc:derby:memory:{new_name('db')};create=true", {"driver": EMBEDDED_DRIVER}
 
 
-def key_slices(key: str, slices: int) -> list[str]:
-    """Predicates that split a table with a whole-number key into ``slices`` parts."""
-    return [f'MOD("{key}", {slices}) = {number}' for number in range(slices)]
+#: Rows a slice of a read is meant to hold; a database reads each slice by its key's index.
+ROWS_PER_SLICE = 500
+
+
+def key_slices(df: DataFrame, key: str) -> tuple[int, int, int]:
+    """Bounds of a whole-number key and the number of slices its rows ask for."""
+    low, high, n = df.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
+    return (low or 0), (high or 0) + 1, max(1, -(-n // ROWS_PER_SLICE))

@@ -23,6 +23,7 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 )
 def pivot(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "event_type", money("value").alias("value"))
+    events = reshape.known_values(events, "event_type", EVENT_TYPES)
     wide = reshape.pivot_sum(events, ["user_id"], "event_type", EVENT_TYPES, "value")
     return wide.select("user_id", *[F.col(name).cast("double") for name in EVENT_TYPES])
 

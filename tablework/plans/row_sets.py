@@ -8,6 +8,7 @@ from tablework.functions.values import money
 from tablework.operators import rows, windows
 from tablework.plans.derived import GAP_SQL, orders_with_gaps
 from tablework.plans.registry import query, table
+from tablework.workspace import checkpointed
 
 
 @query("r1_distinct_rows", "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem")
@@ -40,6 +41,37 @@ def flag_duplicates(spark, sf_dir):
     return rows.flag_duplicates(documents, ["text"], ["doc_id"]).drop("text")
 
 
+@query(
+    "r3_flag_repeated_rows",
+    """
+    SELECT l_orderkey, l_returnflag, l_linestatus,
+           row_number() OVER (PARTITION BY l_orderkey, l_returnflag, l_linestatus) > 1 AS is_duplicate
+    FROM lineitem
+    """,
+)
+def flag_repeated_rows(spark, sf_dir):
+    """All columns compared; NULL equals NULL, and the rows' own order is made for the purpose."""
+    columns = ["l_orderkey", "l_returnflag", "l_linestatus"]
+    lines = table(spark, sf_dir, "lineitem").select(*columns)
+    placed = checkpointed(lines.withColumn("place", F.monotonically_increasing_id()), "placed")
+    return rows.flag_duplicates(placed, columns, ["place"]).drop("place")
+
+
+@query(
+    "r3_flag_null_key",
+    f"""
+    SELECT o_orderpriority, o_orderkey, row_number() OVER (
+        PARTITION BY o_orderpriority ORDER BY o_orderkey NULLS FIRST) > 1 AS is_duplicate
+    FROM (SELECT o_orderpriority, CASE WHEN o_orderkey > 0 THEN o_orderkey END AS o_orderkey FROM {GAP_SQL})
+    """,
+)
+def flag_null_key(spark, sf_dir):
+    """One row has no key; rows without priority are copies of each other."""
+    key = F.when(F.col("o_orderkey") > 0, F.col("o_orderkey")).alias("o_orderkey")
+    orders = orders_with_gaps(spark, sf_dir).select("o_orderpriority", key)
+    return rows.flag_duplicates(orders, ["o_orderpriority"], ["o_orderkey"])
+
+
 @query("r4_sort", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey")
 def sort(spark, sf_dir):
     """The key makes the order total, and lets Spark cut a run of equal prices."""
@@ -103,10 +135,47 @@ def category_order(spark, sf_dir):
     return rows.sort_by_category(placed, "p_type", TYPE_ORDER, ["p_partkey"])
 
 
-@query("r10_sample_seeded")
+@query(
+    "r9_category_comparison",
+    """
+    SELECT p_partkey, list_position(['SMALL', 'MEDIUM', 'LARGE', 'STANDARD', 'ECONOMY', 'PROMO'], p_type) >= 3
+        AS at_least_large
+    FROM part
+    """,
+)
+def category_comparison(spark, sf_dir):
+    bound = rows.category_at_least("p_type", TYPE_ORDER, "LARGE")
+    return table(spark, sf_dir, "part").select("p_partkey", bound.alias("at_least_large"))
+
+
+def _sample_facts(whole, draw, key: str, low: float, high: float):
+    """One row of what holds for any sample ``draw`` returns."""
+    first, again = checkpointed(draw(), "sample"), checkpointed(draw(), "sample")
+    strangers = first.join(whole.select(key), key, "left_anti").count()
+    share = first.count() / whole.count()
+    repeated = first.exceptAll(again).count() + again.exceptAll(first).count()
+    return whole.agg(F.count(F.lit(1)).alias("n_rows")).withColumns(
+        {
+            "all_from_table": F.lit(strangers == 0),
+            "same_with_seed": F.lit(repeated == 0),
+            "size_in_bounds": F.lit(low < share < high),
+        }
+    )
+
+
+@query(
+    "r10_sample_seeded",
+    """
+    SELECT count(*) AS n_rows, true AS all_from_table, true AS same_with_seed,
+           true AS size_in_bounds FROM orders
+    """,
+)
 def sample_seeded(spark, sf_dir):
-    """About half of the rows; which ones depends on the seed and on the file layout."""
-    return table(spark, sf_dir, "orders").sample(fraction=0.5, seed=42)
+    """Three eighths of the rows; which ones depends on the seed and on the file layout."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return _sample_facts(
+        orders, lambda: orders.sample(fraction=0.375, seed=2718), "o_orderkey", 0.3, 0.45
+    )
 
 
 @query(
@@ -118,10 +187,23 @@ def sample_by_key(spark, sf_dir):
     return rows.sample_by_key(orders, "o_orderkey", 0.25)
 
 
-@query("r11_sample_with_replacement")
+@query(
+    "r11_sample_with_replacement",
+    """
+    SELECT count(*) AS n_rows, true AS all_from_table, true AS same_with_seed,
+           true AS size_in_bounds FROM customer
+    """,
+)
 def sample_with_replacement(spark, sf_dir):
-    return table(spark, sf_dir, "customer").sample(withReplacement=True, fraction=1.5, seed=1)
-
+    """More rows than there are, so that some come twice."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return _sample_facts(
+        customers,
+        lambda: customers.sample(withReplacement=True, fraction=2.25, seed=31),
+        "c_custkey",
+        1.75,
+        2.75,
+    )
 
 
 @query(

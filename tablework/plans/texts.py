@@ -59,24 +59,24 @@ def length(spark, sf_dir):
 
 @query(
     "x5_concat",
-    f"SELECT c_custkey, trim(raw_name) || ' - ' || raw_phone AS label FROM {MESSY_SQL}",
+    f"SELECT c_custkey, trim(raw_name) || ' ~ ' || raw_phone AS label FROM {MESSY_SQL}",
 )
 def concat(spark, sf_dir):
     """NULL as soon as one part is NULL."""
-    label = F.concat(F.trim("raw_name"), F.lit(" - "), "raw_phone")
+    label = F.concat(F.trim("raw_name"), F.lit(" ~ "), "raw_phone")
     return messy_customers(spark, sf_dir).select("c_custkey", label.alias("label"))
 
 
 @query(
     "x6_concat_ws",
     f"""
-    SELECT c_custkey, concat_ws(' | ', trim(raw_name), raw_phone, c_mktsegment) AS label
+    SELECT c_custkey, concat_ws(' / ', trim(raw_name), raw_phone, c_mktsegment) AS label
     FROM {MESSY_SQL}
     """,
 )
 def concat_ws(spark, sf_dir):
     """NULL parts are left out."""
-    label = F.concat_ws(" | ", F.trim("raw_name"), "raw_phone", "c_mktsegment")
+    label = F.concat_ws(" / ", F.trim("raw_name"), "raw_phone", "c_mktsegment")
     return messy_customers(spark, sf_dir).select("c_custkey", label.alias("label"))
 
 

@@ -13,7 +13,7 @@ from tablework.plans.embedded import database_url, key_slices
 from tablework.plans.registry import query, table
 from tablework.sinks import files, tables
 from tablework.sinks.databases import write_table
-from tablework.sources.databases import read_table
+from tablework.sources.databases import read_range
 from tablework.sources.files import file_sizes, read_csv, read_json
 from tablework.workspace import new_name, new_path
 
@@ -23,7 +23,8 @@ def write_csv(spark, sf_dir):
     """Whole texts with quotes and line breaks."""
     documents = table(spark, sf_dir, "documents")
     path = new_path(spark, "documents-csv")
-    files.write_csv(documents, path)
+    # Records over several lines are read one file per task, so the files are bounded.
+    files.write_csv(documents, path, maxRecordsPerFile="20000")
     return read_csv(spark, path, documents.schema, multiLine="true")
 
 
@@ -140,7 +141,8 @@ def compression(spark, sf_dir):
     return reduce(DataFrame.unionByName, results)
 
 
-ROWS_PER_FILE = 1_000_000
+#: Small enough to give several files at every given scale.
+ROWS_PER_FILE = 1_000
 
 
 @query(
@@ -243,8 +245,9 @@ def jdbc_write(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
     name = new_name("part")
     types = {"createTableColumnTypes": "p_name VARCHAR(64)"}
-    write_table(parts, url, name, connections=4, properties=properties | types)
-    return read_table(spark, url, name, key_slices("p_partkey", 4), properties)
+    low, high, slices = key_slices(parts, "p_partkey")
+    write_table(parts, url, name, connections=min(slices, 16), properties=properties | types)
+    return read_range(spark, url, name, "p_partkey", low, high, slices, properties)
 
 
 @query(

@@ -27,15 +27,6 @@ def test_entry_returns_rows(spark):
     assert result.count() == 5
 
 
-def test_only_random_samples_lack_an_oracle():
-    without = set(REGISTERED) - set(ORACLES)
-    assert without == {"r10_sample_seeded", "r11_sample_with_replacement"}
-
-
-def test_random_samples_have_the_expected_size(spark, sf_dir):
-    queries = driver.queries()
-    half = queries["r10_sample_seeded"](spark, sf_dir)
-    again = queries["r10_sample_seeded"](spark, sf_dir)
-    assert 600 < half.count() < 900
-    assert half.exceptAll(again).count() == 0
-    assert 170 < queries["r11_sample_with_replacement"](spark, sf_dir).count() < 280
+def test_every_query_has_an_oracle():
+    assert set(REGISTERED) <= set(ORACLES)
+

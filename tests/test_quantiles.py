@@ -3,7 +3,11 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
+from tablework.operators import quantiles
 from tablework.operators.quantiles import exact_percentiles
+from tablework.workspace import new_path
 
 SHARES = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
 
@@ -42,3 +46,34 @@ def test_infinite_values_are_refused(spark):
     df = spark.createDataFrame([(1.0,), (float("inf"),)], "v double")
     with pytest.raises(ValueError):
         exact_percentiles(df, ["v"], [0.5])
+
+
+def test_few_scans_whatever_the_distribution(spark):
+    """The table is read three times, also for log-normal values; the rest is small."""
+    folder = new_path(spark, "log-normal")
+    draw = F.exp(F.randn(3) * 3)
+    spark.range(200_000).select(draw.alias("v")).write.parquet(folder)
+    df = spark.read.parquet(folder)
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    watched = df.mapInArrow(count, df.schema)
+    got = {row["share"]: row["value"] for row in exact_percentiles(watched, ["v"], SHARES).collect()}
+    values = df.toPandas()["v"]
+    for share in SHARES:
+        assert got[share] == pytest.approx(np.percentile(values, share * 100), rel=1e-12)
+    assert reads.value <= 4 * 200_000
+
+
+def test_crowded_bounds_are_searched_in_spark(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "FEW_VALUES", 10)
+    random = np.random.default_rng(2)
+    check(spark, np.round(random.normal(size=3000) * 50, 1))
+
+
+def test_smallest_numbers(spark):
+    check(spark, [0.0, 5e-324])
