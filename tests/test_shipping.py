@@ -22,7 +22,7 @@ def run_elsewhere(function, tmp_path, call: str) -> str:
     return done.stdout.strip()
 
 
-def test_value_function_ships_by_value(tmp_path):
+def test_value_function_ships_by_value(spark, tmp_path):
     grade = udfs.value_function(lambda value: "A" if value > 1 else "B", "string")
     assert run_elsewhere(grade.func, tmp_path, "[f(1), f(2)]") == "['B', 'A']"
 
