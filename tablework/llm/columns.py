@@ -16,10 +16,13 @@ def packed(df: DataFrame, **working: Column) -> DataFrame:
 
 def unpacked(df: DataFrame, own: list[str], **results: Column) -> DataFrame:
     """The row's own columns, then ``results``; a result replaces an own column of its name."""
-    replaced = {name.lower(): value for name, value in results.items()}
+    # Results are computed beside the row first, where none of its names can be meant.
+    places = {name: f"_result_{i}" for i, name in enumerate(results)}
+    df = df.select(ROW, *[value.alias(places[name]) for name, value in results.items()])
+    replaced = {name.lower(): F.col(place) for name, place in places.items()}
     kept = [
         replaced.pop(name.lower(), F.col(f"{ROW}.`{name}`")).alias(name) for name in own
     ]
     return df.select(*kept, *[
-        value.alias(name) for name, value in results.items() if name.lower() in replaced
+        F.col(place).alias(name) for name, place in places.items() if name.lower() in replaced
     ])

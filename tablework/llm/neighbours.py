@@ -31,6 +31,8 @@ FILE_RATIO = 1.2
 COPIES = 8
 #: A query reads the lists of centroids up to this much farther than its nearest.
 READ_RATIO = 1.2
+#: Rows that the lists a query reads are the first lists of, at least, for each wanted row.
+READ_ROWS = 32
 CANDIDATE_BLOCK = 4096
 QUERY_BLOCK = 1024
 
@@ -246,7 +248,7 @@ def _neighbours_of_size(valid: DataFrame, n: int, k: int, every: int) -> DataFra
     def read(batches):
         for batch in batches:
             for part, values in blocks_of(batch):
-                rows, lists = graph.read(values, first_sizes, k + 1)
+                rows, lists = graph.read(values, first_sizes, READ_ROWS * k + 1)
                 asked = part.iloc[rows]
                 yield pd.DataFrame({"id": asked["id"], "vector": asked["vector"], "list": lists})
 

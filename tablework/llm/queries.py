@@ -151,14 +151,14 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TOP_K_SQL = """
 WITH usable AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))
         AS v
     FROM embeddings
     WHERE embedding IS NOT NULL AND len(embedding) > 0
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
     SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(
-        list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+        list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
     FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
