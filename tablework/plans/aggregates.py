@@ -122,7 +122,7 @@ def word_count(spark, sf_dir):
     "a8_value_counts",
     f"""
     SELECT o_orderstatus, count(*) AS n FROM {GAP_SQL}
-    WHERE o_orderstatus IS NOT NULL GROUP BY o_orderstatus
+    WHERE o_orderstatus IS NOT NULL GROUP BY o_orderstatus ORDER BY n DESC, o_orderstatus
     """,
 )
 def value_counts(spark, sf_dir):

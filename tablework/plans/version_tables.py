@@ -6,6 +6,7 @@ the price of the urgent ones that are left.
 
 from __future__ import annotations
 
+import math
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -188,7 +189,7 @@ def cluster_files(spark, sf_dir):
     columns = ["o_custkey", "o_totalprice"]
     clustered, plain = new_path(spark, "orders-clustered"), new_path(spark, "orders-plain")
     orders = _orders(spark, sf_dir)
-    v.cluster(orders, clustered, columns, KEY, ROWS_PER_FILE)
+    v.cluster(orders, clustered, columns, KEY, math.ceil(orders.count() / 16))
     n_files = file_sizes(spark, clustered, ".parquet").count()
     orders.repartition(n_files).write.parquet(plain)
     narrower = {
