@@ -162,28 +162,63 @@ class CentroidGraph:
         return rows, order[rows, place]
 
 
+def shelves(centroids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The shelf of each list: lists next to each other together hold a block of rows at most.
+
+    The lists are walked from each to its nearest one left; a list longer than a block has a
+    shelf of its own.
+    """
+    distances = squared_distances(centroids, centroids)
+    left = np.ones(len(centroids), bool)
+    shelf, at, number, filled = np.zeros(len(centroids), int), 0, 0, 0
+    for _ in range(len(centroids)):
+        if filled and filled + sizes[at] > CANDIDATE_BLOCK:
+            number, filled = number + 1, 0
+        shelf[at] = number
+        filled += sizes[at]
+        left[at] = False
+        at = int(np.where(left, distances[at], np.inf).argmin())
+    return shelf
+
+
 def blocks_of(vectors: pd.DataFrame, rows_at_once: int = 512):
     for lo in range(0, len(vectors), rows_at_once):
         part = vectors.iloc[lo : lo + rows_at_once]
         yield part, stacked(part["vector"])
 
 
-def nearest_in_block(ids, candidates, query_ids, queries, k: int) -> pd.DataFrame:
-    """Each query's ``k`` nearest candidates by Euclidean distance, ties to the smaller id."""
+def nearest_in_block(ids, lists, candidates, queries, k: int) -> pd.DataFrame:
+    """Each query's ``k`` nearest candidates in its lists, ties to the smaller id.
+
+    ``queries`` are (id, vector, lists). A candidate may stand in several lists, at most
+    ``COPIES``, and counts once.
+    """
+    order = np.argsort(lists, kind="stable")
+    ids, lists, candidates = ids[order], lists[order], candidates[order]
     parts = []
-    for query_id, query in zip(query_ids, queries):
-        distances = np.sqrt(((candidates - query) ** 2).sum(axis=1))
-        distances[ids == query_id] = np.inf
-        near = np.arange(len(ids))
-        if len(ids) > k:
-            near = np.flatnonzero(distances <= np.partition(distances, k - 1)[k - 1])
-        near = near[np.isfinite(distances[near])]
-        near = near[np.lexsort((ids[near], distances[near]))][:k]
-        parts.append((np.full(len(near), query_id), ids[near], distances[near]))
+    for query_id, query, read in queries:
+        first, last = np.searchsorted(lists, read), np.searchsorted(lists, read, side="right")
+        at = np.concatenate([np.arange(a, b) for a, b in zip(first, last)])
+        at = at[ids[at] != query_id]
+        if not len(at):
+            continue
+        distances = np.sqrt(((candidates[at] - query) ** 2).sum(axis=1))
+        if len(at) > k * COPIES:
+            near = distances <= np.partition(distances, k * COPIES - 1)[k * COPIES - 1]
+            at, distances = at[near], distances[near]
+        sorted_ = np.lexsort((ids[at], distances))
+        found, distances = ids[at][sorted_], distances[sorted_]
+        once = np.sort(np.unique(found, return_index=True)[1])[:k]
+        parts.append((np.full(len(once), query_id), found[once], distances[once]))
+    if not parts:
+        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(FOUND)
     columns = [np.concatenate([part[i] for part in parts]) for i in range(3)]
     return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns)))
 
 
+FOUND = {"query_id": "int64", "vec_id": "int64", "score": "float64"}
+
+
 def approximate_neighbours(
     vectors: DataFrame,
     k: int = 10,
@@ -199,9 +234,10 @@ def approximate_neighbours(
     share an id the smallest vector counts. Scores are exact; ties go to the smaller id. A query
     reads lists until they hold enough rows, so it gets ``k`` rows if there are as many.
 
-    Every row is filed. The centroids, at most ``MAX_CENTROIDS``, travel with the code. A list
-    that is long or much asked for is cut into blocks of candidates and of queries, and every
-    pair of blocks is a group of bounded size.
+    Every row is filed. The centroids, at most ``MAX_CENTROIDS``, travel with the code. Short
+    lists next to each other share a shelf, on which a query finds its nearest rows at once. A
+    shelf that is long or much asked for is cut into blocks of candidates and of queries, and
+    every pair of blocks is a group of bounded size.
     """
     valid = checkpointed(
         usable_vectors(vectors, id_col, vector_col, nonzero=True), "vectors"
@@ -241,33 +277,52 @@ def _neighbours_of_size(valid: DataFrame, n: int, k: int, every: int) -> DataFra
         ),
         "posting-lists",
     )
-    first_sizes = np.zeros(len(graph.centroids), np.int64)
-    for row in filed.groupBy("list").agg(F.sum(F.col("first").cast("int")).alias("n")).collect():
-        first_sizes[row["list"]] = row["n"]
+    sizes = np.zeros((2, len(graph.centroids)), np.int64)
+    counted = filed.groupBy("list").agg(
+        F.count("*").alias("n"), F.sum(F.col("first").cast("int")).alias("n_first")
+    )
+    for row in counted.collect():  # a row per centroid at most
+        sizes[:, row["list"]] = row["n"], row["n_first"]
+    shelf_of = shelves(graph.centroids, sizes[0])
+    lengths = np.bincount(shelf_of, weights=sizes[0])
+    place = valid.sparkSession.createDataFrame(
+        [
+            (number, int(shelf), max(1, math.ceil(lengths[shelf] / CANDIDATE_BLOCK)))
+            for number, shelf in enumerate(shelf_of)
+        ],
+        "list int, shelf int, n_blocks int",
+    )
 
     def read(batches):
         for batch in batches:
             for part, values in blocks_of(batch):
-                rows, lists = graph.read(values, first_sizes, READ_ROWS * k + 1)
-                asked = part.iloc[rows]
-                yield pd.DataFrame({"id": asked["id"], "vector": asked["vector"], "list": lists})
+                rows, lists = graph.read(values, sizes[1], READ_ROWS * k + 1)
+                stands = shelf_of[lists]
+                order = np.lexsort((lists, stands, rows))
+                rows, lists, stands = rows[order], lists[order], stands[order]
+                new = np.r_[True, (rows[1:] != rows[:-1]) | (stands[1:] != stands[:-1])]
+                asked = part.iloc[rows[new]]
+                yield pd.DataFrame(
+                    {
+                        "id": asked["id"],
+                        "vector": asked["vector"],
+                        "shelf": stands[new],
+                        "lists": np.split(lists, np.flatnonzero(new)[1:]),
+                    }
+                )
 
     asked = checkpointed(
         valid.where(F.col("id") % every == 0)
         .select("id", "vector")
-        .mapInPandas(read, f"id long, vector {fields}, list int"),
+        .mapInPandas(read, f"id long, vector {fields}, shelf int, lists array<int>"),
         "list-reads",
     )
-
-    def blocks(rows: DataFrame, per_block: int, name: str) -> DataFrame:
-        counted = rows.groupBy("list").agg(F.count("*").alias("n"))
-        return counted.select("list", F.ceil(F.col("n") / per_block).cast("int").alias(name))
-
     shape = F.broadcast(  # a row per centroid at most
-        blocks(filed, CANDIDATE_BLOCK, "n_blocks").join(
-            blocks(asked, QUERY_BLOCK, "n_query_blocks"), "list"
-        )
+        asked.groupBy("shelf")
+        .agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("n_query_blocks"))
+        .join(place, "shelf")
     )
+    shelves_asked = F.broadcast(shape.drop("list").distinct())
 
     def own_block(number: str, salt: str):
         return F.pmod(F.xxhash64("id", F.lit(salt)), F.col(number)).cast("int")
@@ -275,32 +330,32 @@ def _neighbours_of_size(valid: DataFrame, n: int, k: int, every: int) -> DataFra
     def all_blocks(number: str):
         return F.explode(F.sequence(F.lit(0), F.col(number) - 1))
 
-    columns = ["id", "vector", "asks", "list", "block", "query_block"]
+    columns = ["id", "vector", "list", "lists", "shelf", "block", "query_block"]
     candidates = (
         filed.join(shape, "list")
-        .withColumns({"asks": F.lit(False), "block": own_block("n_blocks", "c")})
+        .withColumns({"lists": F.lit(None).cast("array<int>"), "block": own_block("n_blocks", "c")})
         .withColumn("query_block", all_blocks("n_query_blocks"))
         .select(columns)
     )
     queries = (
-        asked.join(shape, "list")
-        .withColumns({"asks": F.lit(True), "query_block": own_block("n_query_blocks", "q")})
+        asked.join(shelves_asked, "shelf")
+        .withColumns({"list": F.lit(-1), "query_block": own_block("n_query_blocks", "q")})
         .withColumn("block", all_blocks("n_blocks"))
         .select(columns)
     )
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
-        asks = group["asks"].to_numpy()
+        asks = group["list"].to_numpy() < 0
         if asks.all() or not asks.any():
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
-                {"query_id": "int64", "vec_id": "int64", "score": "float64"}
-            )
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(FOUND)
         values, ids = stacked(group["vector"]), group["id"].to_numpy(np.int64)
-        return nearest_in_block(ids[~asks], values[~asks], ids[asks], values[asks], k)
+        wanted = zip(ids[asks], values[asks], group["lists"].to_numpy()[asks])
+        lists = group["list"].to_numpy(np.int64)[~asks]
+        return nearest_in_block(ids[~asks], lists, values[~asks], wanted, k)
 
     return (
         candidates.unionByName(queries)
-        .groupBy("list", "block", "query_block")
+        .groupBy("shelf", "block", "query_block")
         .applyInPandas(search, "query_id long, vec_id long, score double")
         .dropDuplicates(["query_id", "vec_id"])
     )
