@@ -63,11 +63,13 @@ def fingerprints(text: Column, shingle: int) -> Column:
     return compute(text)
 
 
-def gray_rank(code: Column) -> Column:
-    """The place of a code in the binary-reflected Gray sequence (as an unsigned number)."""
-    for shift in (1, 2, 4, 8, 16, 32):
-        code = code.bitwiseXOR(F.shiftrightunsigned(code, shift))
-    return code
+def gray_rank(codes: str) -> Column:
+    """The places of an array of codes below 2^32 in the binary-reflected Gray sequence.
+
+    A fold over the shifts, as nested expressions would double with every shift.
+    """
+    fold = "aggregate(array(1, 2, 4, 8, 16), code, (rank, s) -> rank ^ shiftrightunsigned(rank, s))"
+    return F.expr(f"transform({codes}, code -> {fold})")
 
 
 def part(code: Column, which: int) -> Column:
@@ -75,9 +77,9 @@ def part(code: Column, which: int) -> Column:
     return F.shiftrightunsigned(code, first).bitwiseAND(F.lit(2**width - 1).cast("long"))
 
 
-def filed(code: Column) -> Column:
-    """The code's upper nodes: an array of (node, lower), the lower part in Gray rank."""
-    places = []
+def filed(code: Column) -> tuple[Column, Column]:
+    """The code's upper nodes, and what it has below each of them."""
+    nodes, lowers = [], []
     for number, shared in enumerate(combinations(range(len(PARTS)), 4)):
         node, lower = F.lit(number).cast("long"), F.lit(0).cast("long")
         for which in range(len(PARTS)):
@@ -86,8 +88,9 @@ def filed(code: Column) -> Column:
                 node = F.shiftleft(node, width).bitwiseOR(part(code, which))
             else:
                 lower = F.shiftleft(lower, width).bitwiseOR(part(code, which))
-        places.append(F.struct(node.alias("node"), gray_rank(lower).alias("rank")))
-    return F.array(*places)
+        nodes.append(node)
+        lowers.append(lower)
+    return F.array(*nodes), F.array(*lowers)
 
 
 class CodeTree:
@@ -198,9 +201,11 @@ def link_codes(codes: DataFrame, limit: int = MAX_BITS) -> DataFrame:
         if len(nodes):
             yield links(len(nodes))
 
+    nodes, lowers = filed(F.col("code"))
     places = (
-        codes.select("code", F.explode(filed(F.col("code"))).alias("place"))
-        .select("code", "place.node", "place.rank")
+        codes.select("code", nodes.alias("nodes"), lowers.alias("lowers"))
+        .select("code", F.explode(F.arrays_zip("nodes", gray_rank("lowers").alias("ranks"))).alias("place"))
+        .select("code", F.col("place.nodes").alias("node"), F.col("place.ranks").alias("rank"))
         .repartition("node")
         .sortWithinPartitions("node", "rank")
     )
