@@ -26,6 +26,8 @@ UNDETERMINED = "und"
 SAMPLE_PER_LANGUAGE = 400
 ROUNDS = 4
 SMOOTHING = 0.05
+#: Characters of text that are judged at a time.
+CHUNK = 3_000_000
 #: Longer words are scored on their own instead of side by side with others.
 LONG_WORD = 40
 WORD = re.compile(r"[^\W\d_]+")
@@ -178,6 +180,8 @@ class LanguageModel:
 
     def judge(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """The likeliest language of each text and its posterior under equal priors."""
+        if not self.languages:
+            return [UNDETERMINED] * len(texts), [0.0] * len(texts)
         names, posteriors = [], []
         lists = [words_of(text) for text in texts]
         flat = [word for words in lists for word in words]
@@ -186,7 +190,7 @@ class LanguageModel:
         start = 0
         for words in lists:
             end = start + len(words)
-            if not words or not self.languages:
+            if not words:
                 names.append(UNDETERMINED)
                 posteriors.append(0.0)
             else:
@@ -251,11 +255,22 @@ def fit(
     come to the driver, where the pieces are fitted.
     """
     usable = docs.where(F.col(f"`{label_col}`").isNotNull() & F.col(f"`{id_col}`").isNotNull())
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
+    order = Window.partitionBy("label").orderBy("place", "id")
+    labelled = usable.select(
+        F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label")
+    )
+    sizes = checkpointed(
+        labelled.groupBy(F.col("label").alias("of_label")).agg(F.count("*").alias("n")), "labels"
+    )
+    # Twice the wanted number lies below this place on average, and fewer than the wanted number
+    # never in practice, so that few rows of a large label meet in one task.
+    place = F.shiftrightunsigned(F.xxhash64("id"), 11) / float(2**53)
     chosen = checkpointed(
-        usable.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label"))
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= sample_per_language)
+        labelled.withColumn("place", place)
+        .join(sizes, F.col("label") == F.col("of_label"))
+        .where(F.col("place") * F.col("n") <= 2.0 * sample_per_language + 100)
+        .withColumn("number", F.row_number().over(order))
+        .where(F.col("number") <= sample_per_language)
         .select(F.col("id").alias("chosen_id"))
         .distinct(),
         "language-sample",
@@ -299,7 +314,15 @@ def predicted(text: Column, model: LanguageModel) -> Column:
 
     @F.pandas_udf("lang_pred string, score double")
     def judge(texts: pd.Series) -> pd.DataFrame:
-        names, posteriors = model.judge(list(texts))
+        names, posteriors, waiting, chars = [], [], [], 0
+        for text in texts:
+            waiting.append(text)
+            chars += len(text or "")
+            if chars > CHUNK:
+                own = model.judge(waiting)
+                names, posteriors, waiting, chars = names + own[0], posteriors + own[1], [], 0
+        own = model.judge(waiting)
+        names, posteriors = names + own[0], posteriors + own[1]
         return pd.DataFrame({"lang_pred": names, "score": posteriors})
 
     return judge(text)
