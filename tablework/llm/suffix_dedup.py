@@ -1,4 +1,4 @@
-"""Remove byte strings that occur anywhere else, by merging orders of suffixes.
+"""Remove byte strings that occur anywhere else, by anchors, hashes and orders around anchors.
 
 A string of ``LENGTH`` bytes is judged by where it starts. Every start has an anchor, the
 smallest hashed gram among the ``SPREAD`` grams that follow, so equal strings have anchors at
@@ -7,9 +7,8 @@ Equal strings lie in runs with equal text behind the anchor (the core). Runs who
 unique are done; runs with an equal twin are repeated as a whole, and the twins go on as one
 piece with their number. Only differing pieces around one core are left, the ends of repeats.
 
-For these, suffix orders are merged as Burrows-Wheeler transforms are: pieces come in shards,
-and the interleave of all shards is refined by one preceding symbol per step, a stable sort that
-never compares suffixes again. Steps run from the far end of the pieces to the core, over the
+These are sorted by radix, one preceding symbol per step; no shard has an order or a
+Burrows-Wheeler transform of its own that would be merged. Steps run from the far end of the pieces to the core, over the
 core at once, and on through the bytes before it. The common prefixes of neighbours behind the
 core are derived once, and a range minimum gives them for rows that become neighbours later. At
 distance d before the core, two neighbours of a block that share enough behind it hold the same
@@ -38,7 +37,7 @@ SEGMENT = 1_000_000
 #: Different pieces around one core up to which they are refined together; the strings of more
 #: crowded cores are hashed one by one and counted in Spark.
 CROWD = 20_000
-#: Pieces gathered before the orders of their shards are merged.
+#: Pieces gathered before they are sorted.
 GATHERED = 20_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -184,7 +183,7 @@ def symbol_rows(parts: list[bytes], width: int) -> np.ndarray:
 
 
 def merged_order(shards: list[np.ndarray]) -> np.ndarray:
-    """The interleave of all shards' rows, refined by one preceding symbol per step."""
+    """The order of all rows, sorted by radix from the last column to the first."""
     symbols = np.concatenate(shards)
     order = np.arange(len(symbols))
     for column in range(symbols.shape[1] - 1, -1, -1):
