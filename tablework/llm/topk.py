@@ -22,7 +22,8 @@ CANDIDATE_BLOCK = 4096
 QUERY_BLOCK = 1024
 #: Queries whose bounds are held at a time within a block.
 SLICE = 64
-#: Scaled components from here on could overflow a long score; such vectors take no part.
+#: Scaled components from here on could overflow a long score or lose digits in the bounds; pairs
+#: with such a vector go without bounds, and their scores are sums of Python's integers.
 MAX_COMPONENT = 2.0**27
 
 
@@ -30,6 +31,18 @@ def quantised(vectors: np.ndarray, scale: int) -> np.ndarray:
     return np.floor(scale * vectors)
 
 
+def is_large(vectors: np.ndarray) -> np.ndarray:
+    return (np.abs(vectors) >= MAX_COMPONENT).any(axis=1)
+
+
+def large_products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Inner products of pairs of rows by Python's integers; one beyond a long is an error."""
+    return np.array(
+        [sum(int(a) * int(b) for a, b in zip(*pair)) for pair in zip(x.tolist(), y.tolist())],
+        np.int64,
+    )
+
+
 def segment_counts(size: int) -> list[int]:
     """Segments of the levels: 1, 4, 16, ... as long as a segment has four components."""
     counts = [1]
@@ -59,10 +72,23 @@ class Block:
         self.ids, self.vectors = ids, vectors
         self.counts = segment_counts(vectors.shape[1])
         self.levels = [segment_statistics(vectors, count) for count in self.counts]
-        self.norm = float(np.sqrt((vectors * vectors).sum(axis=1).max()))
+        self.large = is_large(vectors)
+        squares = (vectors * vectors).sum(axis=1)
+        self.norm = float(np.sqrt(squares[~self.large].max(initial=0.0)))
 
     def products(self, queries: np.ndarray, q: np.ndarray, c: np.ndarray) -> np.ndarray:
         """Exact integer inner products of the pairs."""
+        large_queries = is_large(queries)
+        if large_queries.any() or self.large.any():
+            exact = np.empty(len(q), np.int64)
+            rare = large_queries[q] | self.large[c]
+            exact[rare] = large_products(queries[q[rare]], self.vectors[c[rare]])
+            if not rare.all():
+                exact[~rare] = self.small_products(queries, q[~rare], c[~rare])
+            return exact
+        return self.small_products(queries, q, c)
+
+    def small_products(self, queries: np.ndarray, q: np.ndarray, c: np.ndarray) -> np.ndarray:
         exact = np.empty(len(q), np.int64)
         for lo in range(0, len(q), 1 << 17):
             part = slice(lo, lo + (1 << 17))
@@ -79,6 +105,8 @@ class Block:
         threshold = np.full(n_queries, -np.inf)
         slack = 1e-9 * self.norm * np.sqrt((queries * queries).sum(axis=1)) + 1e-3
         own = query_ids[:, None] == self.ids[None, :]
+        large_queries = is_large(queries)
+        any_large = large_queries.any() or self.large.any()
         q = c = None
         for count, level in zip(self.counts, self.levels):
             statistics = segment_statistics(queries, count)
@@ -93,6 +121,8 @@ class Block:
                 values = np.einsum("ij,ij->i", statistics[q], level[c])
                 bounds = np.full((n_queries, n), -np.inf)
                 bounds[q, c] = values
+            if any_large:
+                bounds[(large_queries[:, None] | self.large[None, :]) & ~own] = np.inf
             take = min(2 * k, n)
             tops = np.argpartition(-bounds, take - 1, axis=1)[:, :take]
             top_q = np.repeat(np.arange(n_queries), take)
@@ -135,19 +165,14 @@ def exact_top_k(
 
     Queries are the rows whose id is divisible by ``every``, candidates all rows but those with
     the query's id. Components become ``floor(scale * x)``. Vectors that are null or empty or
-    hold null or non-finite components take no part, nor do rows without id or components of
-    2^27 and more after scaling. Vectors meet vectors of the same length. Of rows that share an
+    hold null or non-finite components take no part, nor do rows without id. Scores are exact
+    however large the components; one that does not fit a long is an error. Vectors meet vectors of the same length. Of rows that share an
     id the smallest vector counts. Ties go to the smaller id.
 
     Candidates and queries are dealt by hash into blocks of bounded size, and every pair of
     blocks is one task's group; a group returns at most ``k`` rows per query.
     """
-    valid = checkpointed(
-        usable_vectors(vectors, id_col, vector_col, nonzero=False).where(
-            F.forall("vector", lambda x: F.abs(x.cast("double") * scale) < MAX_COMPONENT)
-        ),
-        "vectors",
-    )
+    valid = checkpointed(usable_vectors(vectors, id_col, vector_col, nonzero=False), "vectors")
     is_query = F.col("id") % every == 0
     n, n_queries = valid.agg(
         F.count("*"), F.coalesce(F.sum(is_query.cast("long")), F.lit(0))

@@ -106,3 +106,20 @@ def test_the_graph_reaches_every_centroid():
     graph = neighbours.CentroidGraph(apart)
     known = graph.walk(apart, 1.0)
     assert (known.argmin(axis=1) == np.arange(60)).all()
+
+
+def test_large_components_take_part(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 64)
+    random = np.random.default_rng(9)
+    rows = [(i, random.normal(size=16).tolist()) for i in range(200)]
+    rows += [(i, (random.normal(size=16) * 2.0 ** (16 + (i - 200) // 12)).tolist()) for i in range(200, 260)]
+    exact = lambda x, y: sum(int(a) * int(b) for a, b in zip(np.floor(256 * x), np.floor(256 * y)))
+    assert sum(topk.is_large(topk.quantised(np.array([v for _, v in rows]), 256))) > 20
+    got = {tuple(row) for row in exact_top_k(frame(spark, rows), every=50).collect()}
+    assert got == brute(rows, 50, 5, exact, False)
+
+
+def test_a_score_beyond_a_long_is_an_error(spark):
+    rows = [(i, [2.0**40, 1.0, 1.0, 1.0]) for i in range(3)]
+    with pytest.raises(Exception, match="OverflowError"):
+        exact_top_k(frame(spark, rows), every=2).collect()
