@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablework.llm.conversations import conversation_reports
 from tablework.llm.language_id import identify_languages
 from tablework.llm.language_model import score_documents
 from tablework.llm.line_dedup import drop_repeated_lines
@@ -195,3 +196,27 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with planted faults; rows that are not ``present`` are the dropped ones."""
+    place = [F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in ("conv_id", "turn")]
+    fate = F.crc32(F.concat(place[0], F.lit(":"), place[1])) % 20
+    role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
+    return turns.select(
+        "conv_id",
+        "turn",
+        F.when(fate == 4, "user").otherwise(role).alias("role"),
+        F.when(fate == 1, "").when(fate == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+        .alias("text"),
+        (fate != 0).alias("present"),
+        F.explode(F.when(fate == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+        .alias("copy"),
+    )
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_reports(
+        damaged(table(spark, sf_dir, "conversations")), present_col="present"
+    )
