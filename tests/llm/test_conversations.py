@@ -138,7 +138,8 @@ def test_giant_conversations_spill(monkeypatch):
     for _, turn, role, text in giant:
         end = text.rstrip()[-1:]
         fault = conversations.SOUND if end and end in ".!?" else conversations.TRUNCATED
-        fault = conversations.DUPLICATE if (role, text) in seen else fault if end else conversations.BLANK
+        fault = conversations.DUPLICATE if (role, text) in seen else fault
+        fault = fault if end else conversations.BLANK
         seen.add((role, text))
         judged.append(("7", str(turn), role, text, fault))
     stream = pd.DataFrame(judged[::-1], columns=["conv_id", "turn", "role", "text", "fault"])
