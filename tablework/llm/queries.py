@@ -13,6 +13,7 @@ from tablework.llm.language_model import score_documents
 from tablework.llm.line_dedup import drop_repeated_lines
 from tablework.llm.mixing import mix_sources
 from tablework.llm.neighbours import approximate_neighbours
+from tablework.llm.packing import byte_pair_encoder, pack_documents
 from tablework.llm.sanitize import base_only, n_of_kind, rendered, sanitize
 from tablework.llm.sentence_pieces import encode_documents
 from tablework.llm.simhash import fingerprint_text, near_duplicates
@@ -220,3 +221,29 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_reports(
         damaged(table(spark, sf_dir, "conversations")), present_col="present"
     )
+
+
+#: The id that ends a document in packed sequences.
+END_OF_DOCUMENT = 1
+
+
+def byte_pair_ids():
+    """What makes the encoder of the public byte-level vocabulary, in the task that uses it.
+
+    Its file of ranks gives the ids of the tokenizers library's file, several times as fast.
+    """
+    import public_tokenizers
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return lambda: byte_pair_encoder(path, pattern, "<|endoftext|>")
+
+
+@query("op12_packing")
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(
+        table(spark, sf_dir, "documents"), byte_pair_ids(), END_OF_DOCUMENT
+    )
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
