@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.llm.conversations import conversation_reports
+from tablework.llm.hard_negatives import mine_hard_negatives
 from tablework.llm.language_id import identify_languages
 from tablework.llm.language_model import score_documents
 from tablework.llm.line_dedup import drop_repeated_lines
@@ -247,3 +248,36 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset",
     )
+
+
+NEGATIVES_SQL = """
+WITH usable AS (
+    SELECT row_number() OVER () AS place, vec_id, len(embedding) AS size,
+        CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.place AS anchor, a.vec_id AS anchor_id, c.place, c.vec_id, a.label = c.label AS same,
+        CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT)
+            AS score
+    FROM usable a JOIN usable c ON a.vec_id % 100 = 0 AND c.place <> a.place AND c.size = a.size),
+positives AS (
+    SELECT anchor, place, vec_id AS positive_id, score AS positive_score
+    FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, place) <= 5)
+SELECT n.anchor_id, p.positive_id, CAST(row_number() OVER best AS INTEGER) AS rank,
+    n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same
+    AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+WINDOW best AS (PARTITION BY p.anchor, p.place ORDER BY n.score DESC, n.vec_id, n.place)
+QUALIFY row_number() OVER best <= 10
+"""
+
+
+@query("op13_hard_negatives", NEGATIVES_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings"), label=moved)
