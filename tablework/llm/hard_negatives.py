@@ -153,8 +153,8 @@ class Anchors:
             exact[q, c] = self.scores(candidates, q + part.start, c)
         return exact
 
-    def tiles(self, candidates: Candidates) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
-        """Slices of the anchors with the intervals of their scores with all candidates."""
+    def tiles(self, candidates: Candidates) -> Iterator[tuple]:
+        """Slices of the anchors, the intervals of their scores with all candidates, and the middles."""
         height = max(1, TILE // len(candidates.rows))
         for at in range(0, len(self.rows), height):
             part = slice(at, min(at + height, len(self.rows)))
@@ -166,7 +166,8 @@ class Anchors:
             if self.large[part].any() or candidates.large.any():
                 unbounded = self.large[part, None] | candidates.large
                 low[unbounded], high[unbounded] = -np.inf, np.inf
-            yield part, low, high
+            with np.errstate(invalid="ignore"):
+                yield part, low, high, (low + high) / 2
 
 
 def kth_best(scores: np.ndarray, k: int) -> np.ndarray:
@@ -209,10 +210,10 @@ def sure_threshold(anchors, candidates, part, pairs, fits, k: int) -> np.ndarray
 def positives_of_block(anchors: Anchors, candidates: Candidates, k: int) -> pd.DataFrame:
     """Pairs of the same label that hold each anchor's ``k`` best."""
     found = []
-    for part, low, high in anchors.tiles(candidates):
+    for part, low, high, middle in anchors.tiles(candidates):
         allowed = anchors.labels[part, None] == candidates.labels
         allowed &= anchors.rows[part, None] != candidates.rows
-        pairs = promising((low + high) / 2, allowed, 2 * k)
+        pairs = promising(middle, allowed, 2 * k)
         threshold = sure_threshold(
             anchors, candidates, part, pairs, lambda q, score: np.ones(len(q), bool), k
         )
@@ -254,11 +255,10 @@ def negatives_of_block(
     bottom, near = limits(least, window)  # the window of the least positive score
     top = limits(np.maximum(most, 0), window)[1]
     found = [tuple(np.empty(0, np.int64) for _ in names)]
-    for part, low, high in anchors.tiles(candidates):
+    for part, low, high, middle in anchors.tiles(candidates):
         allowed = anchors.labels[part, None] != candidates.labels
         allowed &= asks[part, None]
         allowed &= (low <= top[part, None]) & (high >= bottom[part, None])
-        middle = (low + high) / 2
         pairs = promising(middle, allowed & ~(middle > near[part, None]), 2 * k)
         threshold = sure_threshold(
             anchors, candidates, part, pairs,

@@ -74,7 +74,7 @@ def test_few_rows_and_none(spark, odd_vectors):
 
 def test_large_components(spark):
     dice = np.random.default_rng(9)
-    rows = [(i, (dice.normal(size=6) * 4.0 ** (i % 14)).tolist(), i % 2) for i in range(150)]
+    rows = [(i, (dice.normal(size=6) * 4.0 ** (i % 10)).tolist(), i % 2) for i in range(150)]
     rows += [(i, (dice.normal(size=6) * 2.0**21).tolist(), i % 2) for i in range(150, 190)]
     whole = hard_negatives.quantised(np.array([row[1] for row in rows]), 256)
     assert 5 < hard_negatives.is_large(whole).sum() < 60
