@@ -8,6 +8,7 @@ from tablework.plans import (  # noqa: F401 - importing a module registers its q
     projections,
     filters,
     joins,
+    time_joins,
     aggregates,
     row_sets,
     texts,
