@@ -17,6 +17,7 @@ from tablework.plans import (  # noqa: F401 - importing a module registers its q
     reshapes,
     version_tables,
     streams,
+    event_streams,
 )
 from tablework.plans.registry import REGISTERED
 
