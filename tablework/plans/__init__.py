@@ -10,6 +10,7 @@ from tablework.plans import (  # noqa: F401 - importing a module registers its q
     joins,
     time_joins,
     aggregates,
+    relational,
     row_sets,
     texts,
     calendar_dates,
