@@ -17,6 +17,7 @@ from tablework.plans import (  # noqa: F401 - importing a module registers its q
     cell_values,
     reshapes,
     version_tables,
+    commits,
     streams,
     event_streams,
 )
