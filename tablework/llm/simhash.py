@@ -1,21 +1,20 @@
 """Near-duplicates by SimHash fingerprints and a hierarchical index in Gray order.
 
-A fingerprint's 64 bits are cut into six parts. Two fingerprints that differ in two bits agree
-in at least four parts, so each fingerprint is filed under its fifteen choices of four parts, and
-linked ones meet at one of these upper nodes. Below an upper node at most 2^22 fingerprints can
-differ, whatever the table's size. They are sorted by Gray rank and cut into nodes of a tree:
-bits that all codes of a node share are factored into its mask and pattern, a search adds up the
-differences from mask to mask, and a whole node is passed over once they exceed the limit.
+All fingerprints are sorted by Gray rank, so that neighbours differ in few bits, and cut into leaves of
+equal size; sixteen nodes in a row have one node above them, and so on up. Bits that all codes below
+a node share are factored into its mask and pattern. Two nodes are at least as far apart as their
+patterns where both masks hold. The search goes down from the pairs of topmost nodes: differences add
+up as the masks grow, and a pair of nodes is passed over, with all that lies below, once they exceed
+the limit. Codes travel only for the pairs of leaves that are left, and below these the same tree and
+the same search go on within the task.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.llm.columns import ROW, packed, unpacked
@@ -24,12 +23,11 @@ from tablework.workspace import checkpointed
 
 SEED = 42
 MAX_BITS = 2
-#: First bit and width of the parts, from the lowest bit.
-PARTS = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
+#: Codes of a leaf, and nodes below a node.
+LEAF = 2048
 FANOUT = 16
-#: Queries searched side by side, and rows gathered before a search.
+#: Pairs of nodes that are followed downwards side by side.
 BLOCK = 4096
-GATHERED = 200_000
 
 
 def text_fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -63,34 +61,18 @@ def fingerprints(text: Column, shingle: int) -> Column:
     return compute(text)
 
 
-def gray_rank(codes: str) -> Column:
-    """The places of an array of codes below 2^32 in the binary-reflected Gray sequence.
+def gray_rank(code: Column) -> Column:
+    """The place of a 64-bit code in the binary-reflected Gray sequence.
 
-    A fold over the shifts, as nested expressions would double with every shift.
+    A fold over the shifts, as nested expressions would double with every shift. Negative ranks are
+    the second half of the sequence, which goes round, so any order by rank keeps neighbours.
     """
-    fold = "aggregate(array(1, 2, 4, 8, 16), code, (rank, s) -> rank ^ shiftrightunsigned(rank, s))"
-    return F.expr(f"transform({codes}, code -> {fold})")
-
-
-def part(code: Column, which: int) -> Column:
-    first, width = PARTS[which]
-    return F.shiftrightunsigned(code, first).bitwiseAND(F.lit(2**width - 1).cast("long"))
-
-
-def filed(code: Column) -> tuple[Column, Column]:
-    """The code's upper nodes, and what it has below each of them."""
-    nodes, lowers = [], []
-    for number, shared in enumerate(combinations(range(len(PARTS)), 4)):
-        node, lower = F.lit(number).cast("long"), F.lit(0).cast("long")
-        for which in range(len(PARTS)):
-            width = PARTS[which][1]
-            if which in shared:
-                node = F.shiftleft(node, width).bitwiseOR(part(code, which))
-            else:
-                lower = F.shiftleft(lower, width).bitwiseOR(part(code, which))
-        nodes.append(node)
-        lowers.append(lower)
-    return F.array(*nodes), F.array(*lowers)
+    shifts = F.array(*[F.lit(2**i) for i in range(6)])
+    return F.aggregate(
+        shifts,
+        code,
+        lambda rank, by: rank.bitwiseXOR(F.call_function("shiftrightunsigned", rank, by)),
+    )
 
 
 class CodeTree:
@@ -109,28 +91,47 @@ class CodeTree:
             low, high = np.bitwise_and.reduceat(low, cuts), np.bitwise_or.reduceat(high, cuts)
         self.levels.reverse()
 
-    def within(self, first: int, last: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, code) of queries ``first`` to ``last`` with at most ``limit`` bits."""
-        top = len(self.levels[0][0])
-        query = np.repeat(np.arange(first, last), top)
-        node = np.tile(np.arange(top), last - first)
-        differences = np.zeros(len(query), np.int64)
-        above = np.zeros(len(query), np.uint64)
-        for depth, (mask, pattern) in enumerate(self.levels):
-            if depth:
-                query = np.repeat(query, FANOUT)
-                differences, above = np.repeat(differences, FANOUT), np.repeat(above, FANOUT)
-                node = (node[:, None] * FANOUT + np.arange(FANOUT)).ravel()
-                there = node < len(mask)
-                query, node = query[there], node[there]
-                differences, above = differences[there], above[there]
-            own = mask[node]
-            new = (self.codes[query] ^ pattern[node]) & own & ~above
-            differences = differences + np.bitwise_count(new)
-            near = differences <= limit
-            query, node, differences = query[near], node[near], differences[near]
-            above = own[near]
-        return query, node
+    def below(self, depth: int, node: np.ndarray) -> np.ndarray:
+        """The children of nodes at ``depth``, one row per node; those beyond the end are -1."""
+        children = node[:, None] * FANOUT + np.arange(FANOUT)
+        children[children >= len(self.levels[depth + 1][0])] = -1
+        return children
+
+    def near(self, other: CodeTree, limit: int):
+        """Blocks of pairs (own place, other's place) of codes at most ``limit`` bits apart."""
+
+        def close(depth, other_depth, x, y):
+            mask, pattern = self.levels[depth]
+            other_mask, other_pattern = other.levels[other_depth]
+            differing = (pattern[x] ^ other_pattern[y]) & mask[x] & other_mask[y]
+            kept = np.bitwise_count(differing) <= limit
+            return x[kept], y[kept]
+
+        last, other_last = len(self.levels) - 1, len(other.levels) - 1
+        tops, other_tops = len(self.levels[0][0]), len(other.levels[0][0])
+        x, y = np.divmod(np.arange(tops * other_tops), other_tops)
+        waiting = [(0, 0, *close(0, 0, x, y))]
+        while waiting:
+            depth, other_depth, x, y = waiting.pop()
+            if len(x) > BLOCK:
+                waiting.append((depth, other_depth, x[BLOCK:], y[BLOCK:]))
+                x, y = x[:BLOCK], y[:BLOCK]
+            left, other_left = last - depth, other_last - other_depth
+            if not left and not other_left:
+                if len(x):
+                    yield x, y
+                continue
+            # The tree with more levels left goes down, or both do.
+            if left >= other_left:
+                children = self.below(depth, x)
+                x, y = children.ravel(), np.repeat(y, FANOUT)
+                x, y = x[x >= 0], y[x >= 0]
+            if other_left >= left:
+                children = other.below(other_depth, y)
+                x, y = np.repeat(x, FANOUT), children.ravel()
+                x, y = x[y >= 0], y[y >= 0]
+            depth, other_depth = depth + (left >= other_left), other_depth + (other_left >= left)
+            waiting.append((depth, other_depth, *close(depth, other_depth, x, y)))
 
 
 def merge_links(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -149,67 +150,111 @@ def merge_links(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             parent[:] = shorter
 
 
-def spanning_links(nodes: np.ndarray, codes: np.ndarray, limit: int):
-    """Links that connect what lies within ``limit`` bits below the same upper node.
+def spanning_links(one: np.ndarray, two: np.ndarray, limit: int):
+    """Links that connect the codes of two leaves that lie within ``limit`` bits.
 
-    ``codes`` are sorted by upper node and Gray rank. At most one link per code comes back.
+    At most one link per code comes back, to the smallest place that its links reach.
     """
+    codes = np.concatenate([one, two])
     parent = np.arange(len(codes))
-    starts = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]])
-    sizes = np.diff(np.r_[starts, len(nodes)])
-    small = np.repeat(sizes <= FANOUT, sizes)
-    for step in range(1, min(FANOUT, int(sizes.max(initial=1)))):
-        at = np.flatnonzero((nodes[step:] == nodes[:-step]) & small[step:])
-        at = at[np.bitwise_count(codes[at] ^ codes[at + step]) <= limit]
-        merge_links(parent, at, at + step)
-    for start, size in zip(starts[sizes > FANOUT], sizes[sizes > FANOUT]):
-        tree = CodeTree(codes[start : start + size])
-        for first in range(0, size, BLOCK):
-            query, found = tree.within(first, min(size, first + BLOCK), limit)
-            merge_links(parent, start + query, start + found)
+    for x, y in CodeTree(one).near(CodeTree(two), limit):
+        merge_links(parent, x, len(one) + y)
     linked = np.flatnonzero(parent != np.arange(len(parent)))
+    linked = linked[codes[linked] != codes[parent[linked]]]  # a leaf beside itself holds codes twice
     return codes[linked].view(np.int64), codes[parent[linked]].view(np.int64)
 
 
-def link_codes(codes: DataFrame, limit: int = MAX_BITS) -> DataFrame:
-    """Links ``a, b`` that connect all of the distinct ``codes`` within ``limit`` (two) bits."""
-    if limit > 2:
-        raise ValueError("the fifteen upper nodes cover differences of up to two bits")
+def gray_leaves(codes: DataFrame) -> DataFrame:
+    """``number, low, high, codes``: leaves of at most ``LEAF`` codes, numbered in Gray order.
 
-    def search(batches):
-        nodes, held = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        waiting = []
+    Tasks sort ranges of ranks and cut them; what the numbers of a range begin with comes from one
+    count per range. ``low`` and ``high`` are the codes' common bits and all of their bits.
+    """
+    ranked = codes.select("code", gray_rank(F.col("code")).alias("rank"))
+    ordered = ranked.repartitionByRange("rank").sortWithinPartitions("rank")
+    place = F.monotonically_increasing_id()
+    row = place.bitwiseAND(F.lit(2**33 - 1))
+    ordered = checkpointed(
+        ordered.select(
+            "code", F.shiftright(place, 33).alias("range"), F.floor(row / LEAF).alias("leaf")
+        ),
+        "gray-order",
+    )
+    sizes = ordered.groupBy("range").agg((F.max("leaf") + 1).alias("n"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    numbered = ordered.join(sizes, "range").groupBy((F.col("before") + F.col("leaf")).alias("number"))
+    return checkpointed(
+        numbered.agg(
+            F.bit_and("code").alias("low"),
+            F.bit_or("code").alias("high"),
+            F.array_sort(F.collect_list(F.struct(gray_rank(F.col("code")).alias("rank"), "code")))
+            .getField("code")
+            .alias("codes"),
+        ),
+        "gray-leaves",
+    )
 
-        def links(upto: int):
-            a, b = spanning_links(nodes[:upto], held[:upto], limit)
-            return pd.DataFrame({"a": a, "b": b})
 
+def apart(one: str, two: str) -> Column:
+    """Bits in which all codes below two nodes differ: where patterns do and both masks hold."""
+    differing = F.col(f"{one}_low").bitwiseXOR(F.col(f"{two}_low"))
+    for side in (one, two):
+        differing = differing.bitwiseAND(
+            F.bitwise_not(F.col(f"{side}_low").bitwiseXOR(F.col(f"{side}_high")))
+        )
+    return F.bit_count(differing)
+
+
+def near_leaves(leaves: DataFrame, limit: int) -> DataFrame:
+    """Pairs ``x, y`` of leaf numbers, x up to y, that may hold codes within ``limit`` bits."""
+    levels = [leaves.select("number", "low", "high")]
+    size = levels[0].count()
+    while size > FANOUT:
+        above = levels[-1].groupBy(F.shiftright("number", 4).alias("number"))
+        nodes = above.agg(F.bit_and("low").alias("low"), F.bit_or("high").alias("high"))
+        levels.append(checkpointed(nodes, "gray-nodes"))
+        size = -(-size // FANOUT)
+
+    def named(nodes: DataFrame, side: str) -> DataFrame:
+        return nodes.select(*[F.col(name).alias(f"{side}_{name}") for name in nodes.columns])
+
+    def meet(pairs: DataFrame, nodes: DataFrame, side: str) -> DataFrame:
+        return pairs.join(named(nodes, side), F.col(side) == F.col(f"{side}_number"))
+
+    def down(column: str) -> Column:
+        steps = F.array(*[F.lit(i) for i in range(FANOUT)])
+        return F.explode(F.transform(steps, lambda i: F.col(column) * FANOUT + i))
+
+    top = levels[-1].select(F.col("number").alias("x"), F.explode(F.sequence("number", F.lit(size - 1))).alias("y"))
+    pairs = meet(meet(top, levels[-1], "x"), levels[-1], "y")
+    pairs = checkpointed(pairs.where(apart("x", "y") <= limit).select("x", "y"), "gray-pairs")
+    for above, nodes in zip(levels[:0:-1], levels[-2::-1]):
+        # One side goes down first and is held against the other's parent.
+        half = meet(meet(pairs.select(down("x").alias("x"), "y"), nodes, "x"), above, "y")
+        half = half.where(apart("x", "y") <= limit).select("x", "x_low", "x_high", down("y").alias("y"))
+        whole = meet(half.where("x <= y"), nodes, "y").where(apart("x", "y") <= limit)
+        pairs = checkpointed(whole.select("x", "y"), "gray-pairs")
+    return pairs
+
+
+def link_codes(codes: DataFrame, limit: int = MAX_BITS) -> DataFrame:
+    """Links ``a, b`` that connect all of the distinct ``codes`` within ``limit`` bits."""
+
+    def search(batches):
         for batch in batches:
-            waiting.append(batch)
-            if sum(map(len, waiting)) < GATHERED:
-                continue
-            nodes = np.r_[nodes, *[w["node"].to_numpy(np.int64) for w in waiting]]
-            held = np.r_[held, *[w["code"].to_numpy(np.int64).view(np.uint64) for w in waiting]]
-            waiting = []
-            other = np.flatnonzero(nodes != nodes[-1])  # the last upper node may go on
-            upto = int(other[-1]) + 1 if len(other) else 0
-            if upto:
-                yield links(upto)
-                nodes, held = nodes[upto:], held[upto:]
-        nodes = np.r_[nodes, *[w["node"].to_numpy(np.int64) for w in waiting]]
-        held = np.r_[held, *[w["code"].to_numpy(np.int64).view(np.uint64) for w in waiting]]
-        if len(nodes):
-            yield links(len(nodes))
-
-    nodes, lowers = filed(F.col("code"))
-    places = (
-        codes.select("code", nodes.alias("nodes"), lowers.alias("lowers"))
-        .select("code", F.explode(F.arrays_zip("nodes", gray_rank("lowers").alias("ranks"))).alias("place"))
-        .select("code", F.col("place.nodes").alias("node"), F.col("place.ranks").alias("rank"))
-        .repartition("node")
-        .sortWithinPartitions("node", "rank")
-    )
-    return places.select("node", "code").mapInPandas(search, "a long, b long")
+            for one, two in zip(batch["one"], batch["two"]):
+                sides = [np.asarray(side, np.int64).view(np.uint64) for side in (one, two)]
+                a, b = spanning_links(*sides, limit)
+                if len(a):
+                    yield pd.DataFrame({"a": a, "b": b})
+
+    leaves = gray_leaves(codes)
+    pairs = near_leaves(leaves, limit)
+    one = leaves.select(F.col("number").alias("x"), F.col("codes").alias("one"))
+    two = leaves.select(F.col("number").alias("y"), F.col("codes").alias("two"))
+    met = pairs.join(one, "x").join(two, "y").select("one", "two")
+    return met.mapInPandas(search, "a long, b long")
 
 
 def groups(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> DataFrame:
@@ -254,7 +299,9 @@ def near_duplicates(
     Texts whose fingerprints differ in at most ``max_bits`` bits are linked, and the component's
     id is the smallest id that links reach. Null, empty and blank texts have fingerprint zero.
     Rows without id take part; a component of such rows only has no id. Equal fingerprints are
-    one node from the start, so copies never meet as pairs. Other columns are not read.
+    one node from the start, so copies and repeated rows never meet as pairs. Texts may be of any
+    length: words are counted piece by piece. An empty table gives an empty result. Other columns
+    are not read.
     """
     found = groups(docs, id_col, text_col, shingle, max_bits)
     return found.select(F.col("id").alias(id_col), "code", "component_id")

@@ -49,18 +49,75 @@ def codes():
 
 def test_tree_finds_all_within_two_bits(codes):
     array = np.array(codes, np.uint64)
-    tree = CodeTree(array)
-    query, found = tree.within(0, len(array), 2)
-    got = set(zip(query.tolist(), found.tolist()))
+    for other in (array, array[:3], array[5:300]):
+        near = np.bitwise_count(array[:, None] ^ other[None, :]) <= 2
+        expected = {(int(a), int(b)) for a, b in zip(*np.nonzero(near))}
+        for one, two, turned in ((array, other, False), (other, array, True)):
+            blocks = list(CodeTree(one).near(CodeTree(two), 2))
+            got = [(int(a), int(b)) for x, y in blocks for a, b in zip(x, y)]
+            got = [(b, a) for a, b in got] if turned else got
+            assert len(got) == len(set(got)) and set(got) == expected
+
+
+def rank(code):
+    for shift in (1, 2, 4, 8, 16, 32):
+        code ^= code >> shift
+    return code
+
+
+def test_leaves_are_in_gray_order(spark, codes, monkeypatch):
+    monkeypatch.setattr(simhash, "LEAF", 9)
+    signed = np.array(codes, np.uint64).view(np.int64).tolist()
+    df = spark.createDataFrame([(code,) for code in signed], "code long").repartition(4)
+    leaves = simhash.gray_leaves(df).orderBy("number").collect()
+    assert [row["number"] for row in leaves] == list(range(len(leaves)))
+    assert all(len(row["codes"]) <= 9 for row in leaves)
+    order = [code % 2**64 for row in leaves for code in row["codes"]]
+    half = 2**63  # negative ranks, the second half, come first
+    assert order == sorted(codes, key=lambda code: (rank(code) + half) % 2**64)
+    for row in leaves:
+        assert row["low"] == np.bitwise_and.reduce(row["codes"])
+        assert row["high"] == np.bitwise_or.reduce(row["codes"])
+
+
+@pytest.mark.parametrize("limit", [0, 1, 2, 5])
+def test_pairs_of_leaves_hold_all_near_pairs(spark, codes, monkeypatch, limit):
+    """Three levels above the leaves: nothing near is passed over, and most of the rest is."""
+    monkeypatch.setattr(simhash, "LEAF", 2)
+    signed = np.array(codes, np.uint64).view(np.int64).tolist()
+    df = spark.createDataFrame([(code,) for code in signed], "code long").repartition(4)
+    leaves = simhash.gray_leaves(df)
+    pairs = {tuple(row) for row in simhash.near_leaves(leaves, limit).collect()}
+    of = {code % 2**64: row["number"] for row in leaves.collect() for code in row["codes"]}
+    array = np.array(codes, np.uint64)
+    near = np.nonzero(np.bitwise_count(array[:, None] ^ array[None, :]) <= limit)
+    needed = {tuple(sorted((of[codes[a]], of[codes[b]]))) for a, b in zip(*near)}
+    n = len(set(of.values()))
+    assert n > 250 and needed <= pairs and all(x <= y for x, y in pairs)
+    assert limit > 2 or len(pairs) < n * n / 4
+
+
+def test_the_tree_finds_what_brute_force_finds(spark, given_docs, monkeypatch):
+    """Given documents: as many near pairs below the pairs of leaves as among all codes."""
+    texts = [row["text"] for row in given_docs.select("text").collect()]
+    own = np.array(sorted({text_fingerprint(text) % 2**64 for text in texts}), np.uint64)
+    changed = np.concatenate([own, own ^ np.uint64(1 << 40), own ^ np.uint64(5)])
+    array = np.unique(changed)
+    df = spark.createDataFrame([(code,) for code in array.view(np.int64).tolist()], "code long")
+    monkeypatch.setattr(simhash, "LEAF", 16)
+    leaves = simhash.gray_leaves(df)
+    held = {row["number"]: np.array(row["codes"], np.int64).view(np.uint64) for row in leaves.collect()}
+    found = 0
+    for x, y in simhash.near_leaves(leaves, 2).collect():
+        for a, b in CodeTree(held[x]).near(CodeTree(held[y]), 2):
+            found += int((a < b).sum()) if x == y else len(a)
     near = np.bitwise_count(array[:, None] ^ array[None, :]) <= 2
-    assert got == set(zip(*map(list, np.nonzero(near)))) or got == {
-        (int(a), int(b)) for a, b in zip(*np.nonzero(near))
-    }
+    assert found == (near.sum() - len(array)) // 2 > 0
 
 
-@pytest.mark.parametrize("gathered", [50, 200_000])
-def test_links_connect_what_is_near(spark, codes, monkeypatch, gathered):
-    monkeypatch.setattr(simhash, "GATHERED", gathered)
+@pytest.mark.parametrize("leaf", [5, 50, 2048])
+def test_links_connect_what_is_near(spark, codes, monkeypatch, leaf):
+    monkeypatch.setattr(simhash, "LEAF", leaf)
     signed = np.array(codes, np.uint64).view(np.int64).tolist()
     links = link_codes(spark.createDataFrame([(code,) for code in signed], "code long").repartition(4))
     roots = {row["node"]: row["root"] for row in component_roots(links).collect()}
