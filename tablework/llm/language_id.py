@@ -8,7 +8,9 @@ on word counts of a bounded sample of labelled documents.
 
 from __future__ import annotations
 
+import math
 import re
+import sys
 from collections import Counter
 from dataclasses import dataclass
 
@@ -28,9 +30,16 @@ ROUNDS = 4
 SMOOTHING = 0.05
 #: Characters of text that are judged at a time.
 CHUNK = 3_000_000
-#: Longer words are scored on their own instead of side by side with others.
+#: Longer words are scored and fitted on their own instead of side by side with others.
 LONG_WORD = 40
-WORD = re.compile(r"[^\W\d_]+")
+#: Numerals that are neither digits nor letters (as in superscripts, fractions, Roman numerals).
+NUMERALS = "".join(
+    c for c in map(chr, range(sys.maxunicode + 1))
+    if c.isnumeric() and not c.isdecimal() and not c.isalpha()
+)
+#: Letters are the characters of Unicode's letter categories.
+LETTER = rf"[^\W\d_{NUMERALS}]"
+WORD = re.compile(f"{LETTER}+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 20
 
@@ -46,7 +55,7 @@ def letter_pieces(model_path: str) -> list[str]:
     proto = sentencepiece_model_pb2.ModelProto()
     with open(model_path, "rb") as file:
         proto.ParseFromString(file.read())
-    fits = re.compile(rf"{SPACE}?[^\W\d_]*\Z")
+    fits = re.compile(rf"{SPACE}?{LETTER}*\Z")
     found = {p.piece for p in proto.pieces if p.type == 1 and fits.match(p.piece)}
     return sorted(piece for piece in found if piece == piece.lower())
 
@@ -60,6 +69,7 @@ class Lattice:
 
     def __init__(self, pieces: list[str]):
         self.pieces = pieces
+        self.numbers = {piece: i for i, piece in enumerate(pieces)}
         self.unknown, self.none = len(pieces), len(pieces) + 1
         self.longest = max(map(len, pieces))
         hashes = np.zeros(len(pieces), np.uint64)
@@ -159,15 +169,13 @@ class LanguageModel:
 
     def long_word_score(self, word: str) -> np.ndarray:
         """The same sum for one word of any length, rescaled on the way."""
-        if not hasattr(self, "_numbers"):
-            self._numbers = {piece: i for i, piece in enumerate(self.lattice.pieces)}
         text, scale = SPACE + word, 0.0
         forward = [np.ones(len(self.languages))]
         for end in range(1, len(text) + 1):
-            single = self._numbers.get(text[end - 1], self.lattice.unknown)
+            single = self.lattice.numbers.get(text[end - 1], self.lattice.unknown)
             total = forward[-1] * self.table[single]
             for length in range(2, min(end, self.lattice.longest) + 1):
-                number = self._numbers.get(text[end - length : end])
+                number = self.lattice.numbers.get(text[end - length : end])
                 if number is not None:
                     total = total + forward[-length] * self.table[number]
             forward = forward[-self.lattice.longest :]
@@ -202,11 +210,44 @@ class LanguageModel:
         return names, posteriors
 
 
+def log_sum(terms: list[float]) -> float:
+    largest = max(terms)
+    return largest + math.log(sum(math.exp(term - largest) for term in terms))
+
+
+def add_long_word(
+    lattice: Lattice, word: str, count: float, p: np.ndarray, expected: np.ndarray
+) -> None:
+    """Add the uses of pieces in one word of any length to ``expected``; the sums are logarithms."""
+    text = SPACE + word
+    cuts = []  # per end the lengths, piece numbers and log-probabilities of the pieces
+    for end in range(1, len(text) + 1):
+        pieces = [(1, lattice.numbers.get(text[end - 1], lattice.unknown))]
+        for length in range(2, min(end, lattice.longest) + 1):
+            number = lattice.numbers.get(text[end - length : end])
+            if number is not None:
+                pieces.append((length, number))
+        cuts.append([(length, number, math.log(p[number])) for length, number in pieces])
+    forward = [0.0]
+    for end, pieces in enumerate(cuts, 1):
+        forward.append(log_sum([forward[end - length] + log_p for length, _, log_p in pieces]))
+    backward = [-math.inf] * len(forward)
+    backward[-1] = 0.0
+    for end in range(len(cuts), 0, -1):
+        for length, number, log_p in cuts[end - 1]:
+            after = log_p + backward[end]
+            expected[number] += count * math.exp(forward[end - length] + after - forward[-1])
+            before = backward[end - length]
+            backward[end - length] = after if before == -math.inf else log_sum([before, after])
+
+
 def expected_counts(lattice: Lattice, words: list[str], counts: np.ndarray, p: np.ndarray):
     """Expected uses of each piece, by forward and backward sums over all segmentations."""
     expected = np.zeros(len(p))
     for size, rows in by_length(words).items():
         if size > LONG_WORD:
+            for row in rows:
+                add_long_word(lattice, words[row], counts[row], p, expected)
             continue
         group, weight = [words[i] for i in rows], counts[rows]
         found = lattice.pieces_at(group)
@@ -346,7 +387,8 @@ def identify_languages(
 
     Learns from the labelled rows that are not held out, and from their texts and labels only.
     Texts that are null or without a letter, and all texts if nothing is labelled, get ``und``
-    with score 0. Columns named like a result are replaced. Prediction is one pass without a
+    with score 0. Texts and words may be of any length; languages that are equally likely give the
+    one that sorts first, and repeated rows get equal results. Columns named like a result are replaced. Prediction is one pass without a
     shuffle; what it ships is bounded by the vocabulary and the number of labels.
     """
     learnable = docs.where(~held_out(F.col(f"`{id_col}`")))

@@ -78,3 +78,38 @@ def test_nothing_labelled_is_undetermined(odd_docs, no_docs):
 def test_the_sample_is_bounded(given_docs):
     small = lid.fit(given_docs, piece_model_path(), sample_per_language=1)
     assert small.languages == sorted(row[0] for row in given_docs.select("lang").distinct().collect())
+
+
+def test_long_words_are_fitted_like_short_ones(model, monkeypatch):
+    """Uses of pieces by sums of logarithms are those side by side, also for a word of 60 letters."""
+    lattice, p = model.lattice, model.table[:, 0]
+    words = ["the", "straße", "日本", "xyzzyx", "thequickbrownfoxjumpsoverthelazydogandthenrunsawaytothehills"]
+    assert len(words[-1]) == 60
+    counts = np.array([3.0, 1.0, 2.0, 5.0, 4.0])
+    monkeypatch.setattr(lid, "LONG_WORD", 100)
+    together = lid.expected_counts(lattice, words, counts, p)
+    monkeypatch.setattr(lid, "LONG_WORD", 0)
+    alone = lid.expected_counts(lattice, words, counts, p)
+    assert alone == pytest.approx(together, rel=1e-9, abs=1e-12)
+    very_long = np.zeros(len(p))
+    lid.add_long_word(lattice, words[-1] * 300, 1.0, p, very_long)
+    assert np.isfinite(very_long).all()
+    uses = sum(n * len(piece) for n, piece in zip(very_long, lattice.pieces)) + very_long[lattice.unknown]
+    assert uses == pytest.approx(60 * 300 + 1)  # every letter, and the word's start, once
+
+
+def test_a_language_of_long_words_alone_is_learned(spark):
+    rows = [(i, "ka" * 40 + "ro" * (i % 9), "kk") for i in range(90)]
+    rows += [(100 + i, "shine" * 12 + "ly" * (i % 9), "en") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judged = lid.identify_languages(docs, piece_model_path())
+    assert judged.where("lang <> lang_pred").count() == 0
+
+
+def test_numerals_are_no_letters(spark, given_docs):
+    odd = ["²", "½ Ⅷ", "① ٣ 12", "_", "́", "一", "ª", "x²"]
+    extra = spark.createDataFrame([(-i - 1, text) for i, text in enumerate(odd)], "doc_id long, text string")
+    docs = given_docs.unionByName(extra, allowMissingColumns=True)
+    judged = lid.identify_languages(docs, piece_model_path()).where("doc_id < 0")
+    und = {row["text"] for row in judged.collect() if row["lang_pred"] == "und"}
+    assert und == {"²", "½ Ⅷ", "① ٣ 12", "_", "́"}
