@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 from collections import Counter
 from dataclasses import dataclass
 
@@ -32,20 +31,22 @@ SMOOTHING = 0.05
 CHUNK = 3_000_000
 #: Longer words are scored and fitted on their own instead of side by side with others.
 LONG_WORD = 40
-#: Numerals that are neither digits nor letters (as in superscripts, fractions, Roman numerals).
-NUMERALS = "".join(
-    c for c in map(chr, range(sys.maxunicode + 1))
-    if c.isnumeric() and not c.isdecimal() and not c.isalpha()
-)
-#: Letters are the characters of Unicode's letter categories.
-LETTER = rf"[^\W\d_{NUMERALS}]"
-WORD = re.compile(f"{LETTER}+")
+WORD = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 20
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """Runs of letters, which are the characters of Unicode's letter categories.
+
+    The pattern also takes numerals that are no digits (superscripts, fractions, Roman numerals), so
+    the rare words with such a character are cut there.
+    """
+    words = WORD.findall((text or "").lower())
+    if all(map(str.isalpha, words)):
+        return words
+    spaced = ["".join(c if c.isalpha() else " " for c in word) for word in words]
+    return " ".join(spaced).split()
 
 
 def letter_pieces(model_path: str) -> list[str]:
@@ -55,9 +56,9 @@ def letter_pieces(model_path: str) -> list[str]:
     proto = sentencepiece_model_pb2.ModelProto()
     with open(model_path, "rb") as file:
         proto.ParseFromString(file.read())
-    fits = re.compile(rf"{SPACE}?{LETTER}*\Z")
-    found = {p.piece for p in proto.pieces if p.type == 1 and fits.match(p.piece)}
-    return sorted(piece for piece in found if piece == piece.lower())
+    found = {p.piece for p in proto.pieces if p.type == 1}
+    letters = {piece for piece in found if piece == SPACE or piece.removeprefix(SPACE).isalpha()}
+    return sorted(piece for piece in letters if piece == piece.lower())
 
 
 class Lattice:
