@@ -32,11 +32,14 @@ def database_url(spark: SparkSession) -> tuple[str, dict[str, str]]:
     return f"jdbc:derby:memory:{new_name('db')};create=true", {"driver": EMBEDDED_DRIVER}
 
 
-#: Rows a slice of a read is meant to hold; a database reads each slice by its key's index.
-ROWS_PER_SLICE = 500
+#: Bytes a slice of a read is meant to hold; a database reads each slice by its key's index.
+SLICE_BYTES = 64 * 2**20
 
 
 def key_slices(df: DataFrame, key: str) -> tuple[int, int, int]:
-    """Bounds of a whole-number key and the number of slices its rows ask for."""
-    low, high, n = df.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
-    return (low or 0), (high or 0) + 1, max(1, -(-n // ROWS_PER_SLICE))
+    """Bounds of a whole-number key and the number of slices to read: one per core, more where
+    the rows, written out as text, are more than that many slices should hold."""
+    n_bytes = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    low, high, n, size = df.agg(F.min(key), F.max(key), F.count(F.lit(1)), n_bytes).first()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return (low or 0), (high or 0) + 1, max(1, min(n, max(cores, -(-(size or 0) // SLICE_BYTES))))

@@ -82,7 +82,7 @@ def restore(spark, sf_dir):
     """Back to version 1 by a new version that holds only the differences."""
     path = _versioned_orders(spark, sf_dir)
     changes = v.read_changes(spark, path)
-    number = v.latest_version(changes) + 1
+    number = v.next_version(spark, path)
     v.write_version(v.restoration(changes, KEY, 1), path, number, None, _at(number), KEY)
     return v.snapshot(v.read_changes(spark, path), KEY)
 
@@ -121,15 +121,22 @@ def retention(spark, sf_dir):
     return second.unionByName(third)
 
 
-#: Small enough to give several files at every given scale.
-ROWS_PER_FILE = 1_000
+#: Bytes of a file, unless the table is so small that a sixteenth of it is less.
+FILE_BYTES = 128 * 2**20
+
+
+def _rows_per_file(spark, folder: str) -> int:
+    """Rows that fill a file, by the measured bytes of the rows in ``folder``."""
+    n_bytes = file_sizes(spark, folder, ".parquet").agg(F.sum("length")).first()[0]
+    share = min(1 / 16, FILE_BYTES / n_bytes)
+    return max(1, math.ceil(spark.read.parquet(folder).count() * share))
 
 
 @query("v8_compact", V3_SQL)
 def compact(spark, sf_dir):
-    path = new_path(spark, "orders-compact")
-    live = v.snapshot(v.read_changes(spark, _versioned_orders(spark, sf_dir)), KEY)
-    v.compact(live, path, ROWS_PER_FILE)
+    path, table_path = new_path(spark, "orders-compact"), _versioned_orders(spark, sf_dir)
+    live = v.snapshot(v.read_changes(spark, table_path), KEY)
+    v.compact(live, path, _rows_per_file(spark, table_path))
     return spark.read.parquet(path)
 
 
@@ -145,16 +152,17 @@ def compact_files(spark, sf_dir):
     scattered, path = new_path(spark, "orders-scattered"), new_path(spark, "orders-compact")
     live = v.snapshot(v.read_changes(spark, _versioned_orders(spark, sf_dir)), KEY)
     live.repartition(64).write.parquet(scattered)
-    v.compact(spark.read.parquet(scattered), path, ROWS_PER_FILE)
+    rows_per_file = _rows_per_file(spark, scattered)
+    v.compact(spark.read.parquet(scattered), path, rows_per_file)
     before = file_sizes(spark, scattered, ".parquet").count()
     rows = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n"))
     n_files = F.count(F.lit(1))
     return rows.agg(
         F.sum("n").alias("n_rows"),
         # As many files as the rows ask for may be more than there were.
-        (n_files <= F.greatest(F.lit(before), F.ceil(F.sum("n") / ROWS_PER_FILE) + 8)).alias("fewer_files"),
+        (n_files <= F.greatest(F.lit(before), F.ceil(F.sum("n") / rows_per_file) + 8)).alias("fewer_files"),
         (n_files > 1).alias("several_files"),
-        (F.max("n") <= ROWS_PER_FILE).alias("within_size"),
+        (F.max("n") <= rows_per_file).alias("within_size"),
     )
 
 
@@ -162,7 +170,8 @@ def compact_files(spark, sf_dir):
 def cluster(spark, sf_dir):
     path = new_path(spark, "orders-clustered")
     orders = _orders(spark, sf_dir)
-    v.cluster(orders, path, ["o_custkey", "o_totalprice"], KEY, ROWS_PER_FILE)
+    rows_per_file = _rows_per_file(spark, f"{sf_dir}/orders.parquet")
+    v.cluster(orders, path, ["o_custkey", "o_totalprice"], KEY, rows_per_file)
     return spark.read.parquet(path)
 
 
@@ -189,7 +198,7 @@ def cluster_files(spark, sf_dir):
     columns = ["o_custkey", "o_totalprice"]
     clustered, plain = new_path(spark, "orders-clustered"), new_path(spark, "orders-plain")
     orders = _orders(spark, sf_dir)
-    v.cluster(orders, clustered, columns, KEY, math.ceil(orders.count() / 16))
+    v.cluster(orders, clustered, columns, KEY, _rows_per_file(spark, f"{sf_dir}/orders.parquet"))
     n_files = file_sizes(spark, clustered, ".parquet").count()
     orders.repartition(n_files).write.parquet(plain)
     narrower = {

@@ -25,6 +25,9 @@ from tablework.sinks.files import write_partitioned, write_sized
 VERSION, OP, AT = "_version", "_op", "_at"
 CONTROL = (VERSION, OP, AT)
 
+#: Whether Spark marks a folder as finished once all tasks are through.
+MARKING = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+
 
 def write_version(
     rows: DataFrame,
@@ -37,21 +40,33 @@ def write_version(
 ) -> None:
     """Store ``rows`` as a version; with ``op=None`` they already carry their own.
 
-    Refused if two rows have the same key, as a reader could keep only one of them.
+    Refused if two rows have the same key, as a reader could keep only one of them. The rows are
+    computed once: they are written without the mark of a finished write, the keys are counted
+    in the written files, and then the version gets its mark or is taken away again.
     """
-    repeated = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
-    if repeated is not None:
-        raise ValueError(f"version {version} holds a key {repeated['n']} times: {repeated}")
+    spark, folder = rows.sparkSession, f"{path}/{VERSION}={version}"
     if op is not None:
         rows = rows.withColumn(OP, F.lit(op))
     stamped = rows.withColumn(AT, F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz"))
-    stamped.write.mode(mode).parquet(f"{path}/{VERSION}={version}")
+    stamped.write.mode(mode).option(MARKING, "false").parquet(folder)
+    written = spark.read.schema(stamped.schema).parquet(folder)
+    repeated = written.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
+    storage, at_folder = _storage(spark, folder)
+    if repeated is not None:
+        storage.delete(at_folder, True)
+        raise ValueError(f"version {version} holds a key {repeated['n']} times: {repeated}")
+    storage.create(_storage(spark, f"{folder}/_SUCCESS")[1], True).close()
+
+
+def _storage(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it wants it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
 
 
 def _paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that fit the pattern, in any storage Spark knows."""
-    glob = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    storage = glob.getFileSystem(spark._jsc.hadoopConfiguration())
+    storage, glob = _storage(spark, pattern)
     return [str(found.getPath()) for found in storage.globStatus(glob) or []]
 
 

@@ -140,3 +140,34 @@ def test_schema_check(spark):
     for wrong in (df.drop("s"), df.withColumn("x", F.lit(1)), df.withColumn("id", F.lit("1"))):
         with pytest.raises(ValueError):
             v.check_schema(wrong, df.schema)
+
+
+def test_rows_of_a_version_are_computed_once(spark):
+    path, seen = new_path(spark, "once"), spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(100).mapInPandas(counting, "id long")
+    v.write_version(rows, path, 1, "I", AT, KEY)
+    assert seen.value == 100
+    assert v.complete_versions(spark, path) == [1]
+
+
+def test_a_refused_version_leaves_its_number_free(spark, rows_of):
+    path = new_path(spark, "again")
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "id long, s string")
+    with pytest.raises(ValueError, match="2 times"):
+        v.write_version(twice, path, 1, "I", AT, KEY)
+    assert v.next_version(spark, path) == 1
+    v.write_version(twice.limit(1), path, 1, "I", AT, KEY)
+    assert v.read_changes(spark, path).count() == 1
+
+
+def test_a_version_without_rows_is_complete(spark):
+    path = new_path(spark, "none")
+    v.write_version(spark.range(0), path, 1, "I", AT, KEY)
+    assert v.complete_versions(spark, path) == [1]
+    assert v.read_changes(spark, path).count() == 0
