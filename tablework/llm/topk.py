@@ -19,12 +19,17 @@ from tablework.llm.vectors import ranked, stacked, usable_vectors
 from tablework.workspace import checkpointed
 
 CANDIDATE_BLOCK = 4096
-QUERY_BLOCK = 1024
+QUERY_BLOCK = 8192
+#: Components a block holds at most on average, so that long vectors make smaller blocks.
+BLOCK_COMPONENTS = 1 << 20
 #: Queries whose bounds are held at a time within a block.
 SLICE = 64
-#: Scaled components from here on could overflow a long score or lose digits in the bounds; pairs
-#: with such a vector go without bounds, and their scores are sums of Python's integers.
-MAX_COMPONENT = 2.0**27
+#: Above one pair in so many, one matrix product over a slice costs less than the pairs one by one.
+DENSE = 64
+#: Rows of this length or more could give products that doubles don't hold exactly; pairs with such
+#: a row go without bounds, and their scores are sums of Python's integers. For all others
+#: ``sum of |x * y| <= |x| * |y| < 2^52``, so that every partial sum is exact, in any order.
+MAX_NORM = 2.0**26
 
 
 def quantised(vectors: np.ndarray, scale: int) -> np.ndarray:
@@ -32,7 +37,7 @@ def quantised(vectors: np.ndarray, scale: int) -> np.ndarray:
 
 
 def is_large(vectors: np.ndarray) -> np.ndarray:
-    return (np.abs(vectors) >= MAX_COMPONENT).any(axis=1)
+    return np.einsum("ij,ij->i", vectors, vectors) >= MAX_NORM**2
 
 
 def large_products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -78,65 +83,54 @@ class Block:
 
     def products(self, queries: np.ndarray, q: np.ndarray, c: np.ndarray) -> np.ndarray:
         """Exact integer inner products of the pairs."""
-        large_queries = is_large(queries)
-        if large_queries.any() or self.large.any():
-            exact = np.empty(len(q), np.int64)
-            rare = large_queries[q] | self.large[c]
+        exact = np.empty(len(q), np.int64)
+        rare = is_large(queries)[q] | self.large[c]
+        if rare.any():
             exact[rare] = large_products(queries[q[rare]], self.vectors[c[rare]])
-            if not rare.all():
-                exact[~rare] = self.small_products(queries, q[~rare], c[~rare])
+        plain = np.flatnonzero(~rare)
+        if len(plain) > len(queries) * len(self.ids) // DENSE:
+            exact[plain] = (queries @ self.vectors.T)[q[plain], c[plain]]
             return exact
-        return self.small_products(queries, q, c)
-
-    def small_products(self, queries: np.ndarray, q: np.ndarray, c: np.ndarray) -> np.ndarray:
-        exact = np.empty(len(q), np.int64)
-        for lo in range(0, len(q), 1 << 17):
-            part = slice(lo, lo + (1 << 17))
-            exact[part] = np.einsum(
-                "ij,ij->i",
-                queries[q[part]].astype(np.int64),
-                self.vectors[c[part]].astype(np.int64),
-            )
+        for lo in range(0, len(plain), 1 << 17):
+            part = plain[lo : lo + (1 << 17)]
+            exact[part] = np.einsum("ij,ij->i", queries[q[part]], self.vectors[c[part]])
         return exact
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
-        """Pairs (query, candidate, score) that hold each query's best ``k``."""
+        """Pairs (query, candidate, score) that hold each query's best ``k``.
+
+        ``alive`` marks the pairs whose bound still reaches the query's threshold, the ``k``-th
+        exact score found so far.
+        """
         n_queries, n = len(queries), len(self.ids)
         threshold = np.full(n_queries, -np.inf)
         slack = 1e-9 * self.norm * np.sqrt((queries * queries).sum(axis=1)) + 1e-3
-        own = query_ids[:, None] == self.ids[None, :]
-        large_queries = is_large(queries)
-        any_large = large_queries.any() or self.large.any()
-        q = c = None
+        alive = query_ids[:, None] != self.ids[None, :]
+        unbounded = is_large(queries)[:, None] | self.large[None, :]
+        take = min(2 * k, n)
         for count, level in zip(self.counts, self.levels):
             statistics = segment_statistics(queries, count)
-            if q is None or len(q) > n_queries * n // 8:
-                bounds = statistics @ level.T
-                bounds[own] = -np.inf
-                if q is not None:
-                    dropped = np.ones_like(own)
-                    dropped[q, c] = False
-                    bounds[dropped] = -np.inf
+            n_alive = np.count_nonzero(alive)
+            if n_alive > n_queries * n // DENSE:
+                bounds = np.where(alive, statistics @ level.T, -np.inf)
             else:
-                values = np.einsum("ij,ij->i", statistics[q], level[c])
+                q, c = np.nonzero(alive)
                 bounds = np.full((n_queries, n), -np.inf)
-                bounds[q, c] = values
-            if any_large:
-                bounds[(large_queries[:, None] | self.large[None, :]) & ~own] = np.inf
-            take = min(2 * k, n)
+                bounds[q, c] = np.einsum("ij,ij->i", statistics[q], level[c])
+            bounds[unbounded & alive] = np.inf
             tops = np.argpartition(-bounds, take - 1, axis=1)[:, :take]
-            top_q = np.repeat(np.arange(n_queries), take)
-            top_c = tops.ravel()
-            real = bounds[top_q, top_c] > -np.inf
+            top_q, top_c = np.repeat(np.arange(n_queries), take), tops.ravel()
+            real = alive[top_q, top_c]
             sure = np.full(n_queries * take, -np.inf)
             sure[real] = self.products(queries, top_q[real], top_c[real])
             if take >= k:
-                kth = -np.sort(-sure.reshape(n_queries, take), axis=1)[:, k - 1]
+                kth = np.partition(sure.reshape(n_queries, take), take - k, axis=1)[:, take - k]
                 threshold = np.maximum(threshold, kth)
-            q, c = np.nonzero(
-                (bounds + slack[:, None] >= threshold[:, None]) & (bounds > -np.inf)
-            )
-        return q, c, self.products(queries, q, c)
+            alive &= bounds + slack[:, None] >= threshold[:, None]
+        q, c = np.nonzero(alive)
+        score = self.products(queries, q, c)
+        good = score >= threshold[q]
+        return q[good], c[good], score[good]
 
 
 def best_of_block(block: Block, query_ids, queries, k: int) -> pd.DataFrame:
@@ -153,6 +147,11 @@ def best_of_block(block: Block, query_ids, queries, k: int) -> pd.DataFrame:
     return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns)))
 
 
+def blocks_for(rows: int, components: int | None, rows_per_block: int) -> int:
+    """Blocks that hold at most so many rows and ``BLOCK_COMPONENTS`` each, on average."""
+    return max(1, -(-rows // rows_per_block), -(-(components or 0) // BLOCK_COMPONENTS))
+
+
 def exact_top_k(
     vectors: DataFrame,
     k: int = 5,
@@ -174,11 +173,12 @@ def exact_top_k(
     """
     valid = checkpointed(usable_vectors(vectors, id_col, vector_col, nonzero=False), "vectors")
     is_query = F.col("id") % every == 0
-    n, n_queries = valid.agg(
-        F.count("*"), F.coalesce(F.sum(is_query.cast("long")), F.lit(0))
+    asked = F.when(is_query, F.col("size"))
+    n, size, n_queries, query_size = valid.agg(
+        F.count("*"), F.sum("size"), F.count(asked), F.sum(asked)
     ).first()
-    n_blocks = max(1, -(-n // CANDIDATE_BLOCK))
-    n_query_blocks = max(1, -(-n_queries // QUERY_BLOCK))
+    n_blocks = blocks_for(n, size, CANDIDATE_BLOCK)
+    n_query_blocks = blocks_for(n_queries, query_size, QUERY_BLOCK)
 
     def block_of(blocks: int, salt: str):
         return F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(blocks)).cast("int")
