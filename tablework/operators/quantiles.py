@@ -44,13 +44,12 @@ def exact_percentiles(
 ) -> DataFrame:
     """Rows (``column_name``, ``share``, ``value``), interpolated linearly between neighbours.
 
-    NULL and NaN are left out. A column without values gives NULL.
+    NULL and NaN are left out. A column without values gives NULL. Infinite values rank below or
+    above all others; between them and a finite value lies the infinite one, and between both NaN.
     """
     spark = df.sparkSession
     values = df.select(*[_numbers(name) for name in columns])
     sizes, bounds = _bounds(values, columns, shares)
-    if any(math.isinf(value) for pair in bounds.values() for value in pair[0]):
-        raise ValueError("percentiles need finite values")
     ranks = [
         Rank(name, rank, *bounds[name][1][share])
         for name in bounds
@@ -66,7 +65,7 @@ def exact_percentiles(
                 position = share * (sizes[name] - 1)
                 under, over = _neighbours(share, sizes[name])
                 low, high = at[name, under], at[name, over]
-                value = low + (high - low) * (position - under)
+                value = _between(low, high, position - under)
             result.append((name, float(share), value))
     return spark.createDataFrame(result, "column_name string, share double, value double")
 
@@ -81,6 +80,14 @@ def _neighbours(share: float, n: int) -> tuple[int, int]:
     return math.floor(position), math.ceil(position)
 
 
+def _between(low: float, high: float, part: float) -> float:
+    if part == 0 or low == high:
+        return low
+    if math.isinf(low) or math.isinf(high):
+        return low + high
+    return low + (high - low) * part
+
+
 def _around(share: float) -> list[float]:
     return [max(0.0, share - 3 / ACCURACY), min(1.0, share + 3 / ACCURACY)]
 

@@ -27,7 +27,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     """
     rest = [name for name in df.columns if name not in order]
     ranked = F.struct(*order, *rest)
-    check = F.crc32(F.to_json(F.struct(*keys)))
+    check = F.hash(*[F.col(name).isNull() for name in keys], *keys)
     picked = df.groupBy(*key_digest(keys)).agg(
         F.min(ranked).alias("_row"), F.min(check).alias("_low"), F.max(check).alias("_high")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,34 @@ def lookup_rows(spark, sf_dir):
     return counts.join(labels, F.col("o_orderstatus") == F.col("code")).select("label", "n_orders")
 
 
+@query(
+    "s2_rows_as_mappings",
+    """
+    SELECT l.meaning, l.days, count(*) AS n_lines, sum(l_quantity) AS quantity
+    FROM lineitem JOIN (VALUES ('A', 'accepted', 30), ('N', 'none', NULL), ('R', 'returned', 14)) l(code, meaning, days)
+      ON l_returnflag = l.code
+    GROUP BY l.meaning, l.days
+    """,
+)
+def rows_as_mappings(spark, sf_dir):
+    """Keys may stand in any order; a key that a row lacks is NULL."""
+    flags = generate.lookup(
+        spark,
+        [
+            {"code": "A", "meaning": "accepted", "days": 30},
+            {"meaning": "none", "code": "N"},
+            {"days": 14, "meaning": "returned", "code": "R"},
+        ],
+        "code string, meaning string, days int",
+    )
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(
+        F.count("*").alias("n_lines"), F.sum("l_quantity").alias("quantity")
+    )
+    return lines.join(flags, F.col("l_returnflag") == F.col("code")).select(
+        "meaning", "days", "n_lines", "quantity"
+    )
+
+
 @query(
     "s3_empty_accumulator",
     """
@@ -181,6 +210,22 @@ def csv_options(spark, sf_dir):
     return back.withColumn("order_day", F.date_format("order_day", "yyyy-MM-dd"))
 
 
+@query(
+    "s14_storage_uri",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 200000",
+)
+def storage_uri(spark, sf_dir):
+    """A folder that a job wrote, read back under the full URI of its storage."""
+    path = new_path(spark, "orders-by-uri")
+    table(spark, sf_dir, "orders").write.parquet(path)
+    uri = files.storage_uri(spark, path)
+    return (
+        files.read_any(spark, "parquet", uri)
+        .filter(F.col("o_totalprice") > 200_000)
+        .select("o_orderkey", "o_custkey", "o_totalprice")
+    )
+
+
 @query(
     "s15_partition_pruned",
     "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'F'",
@@ -272,6 +317,32 @@ def range_calendar(spark, sf_dir):
     )
 
 
+@query(
+    "s21_pandas_frame",
+    """
+    SELECT o_orderkey, l.days, CAST(o_totalprice AS DOUBLE) * l.rate AS surcharge
+    FROM orders LEFT JOIN (VALUES ('1-URGENT', 1, 0.5), ('2-HIGH', 3, 0.25), ('5-LOW', NULL, NULL)) l(priority, days, rate)
+      ON o_orderpriority = l.priority
+    """,
+)
+def pandas_frame(spark, sf_dir):
+    """A short frame made in the program beside the orders; its gaps become NULL."""
+    surcharges = pd.DataFrame(
+        {
+            "priority": ["1-URGENT", "2-HIGH", "5-LOW"],
+            "days": pd.array([1, 3, None], "Int64"),
+            "rate": [0.5, 0.25, float("nan")],
+        }
+    )
+    rates = generate.lookup(spark, surcharges, "priority string, days int, rate double")
+    orders = table(spark, sf_dir, "orders")
+    return orders.join(rates, F.col("o_orderpriority") == F.col("priority"), "left").select(
+        "o_orderkey",
+        "days",
+        (F.col("o_totalprice").cast("double") * F.col("rate")).alias("surcharge"),
+    )
+
+
 @query(
     "s22_running_totals",
     """

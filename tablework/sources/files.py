@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,6 +80,20 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> D
         return spark.createDataFrame([], schema)
 
 
+def storage_uri(spark: SparkSession, path: str) -> str:
+    """The path of a folder of Parquet files with the scheme and authority of its storage.
+
+    A URI comes back as it is. A folder without rows has no file to name its storage and raises.
+    """
+    if "://" in path:
+        return path
+    file = spark.read.parquet(path).select("_metadata.file_path").first()
+    if file is None:
+        raise ValueError(f"no rows below {path}")
+    place = urlsplit(file[0])
+    return f"{place.scheme}://{place.netloc}{path}"
+
+
 def file_sizes(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     """(``path``, ``length``) of the files with a suffix; their contents are not read."""
     return (

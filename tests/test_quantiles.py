@@ -42,10 +42,20 @@ def test_missing_values_and_several_columns(spark):
     assert got == {("a", 0.5): 2.0, ("b", 0.5): 6.0, ("c", 0.5): None}
 
 
-def test_infinite_values_are_refused(spark):
-    df = spark.createDataFrame([(1.0,), (float("inf"),)], "v double")
-    with pytest.raises(ValueError):
-        exact_percentiles(df, ["v"], [0.5])
+def test_infinite_values_have_a_rank(spark):
+    infinite = float("inf")
+
+    def at(values, shares):
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(2)
+        return [row["value"] for row in exact_percentiles(df, ["v"], shares).collect()]
+
+    assert at([1.0, infinite, -infinite, 2.0], [0.0, 0.1, 0.5, 0.9, 1.0]) == [
+        -infinite, -infinite, 1.5, infinite, infinite,
+    ]
+    assert at([infinite] * 3, [0.0, 0.3, 1.0]) == [infinite] * 3
+    assert np.isnan(at([-infinite, infinite], [0.5])[0])
+    crowd = [float(v) for v in range(200)] + [infinite, -infinite] * 50
+    assert at(crowd, [0.1, 0.5, 0.9]) == [-infinite, np.percentile(crowd, 50), infinite]
 
 
 def test_few_scans_whatever_the_distribution(spark):
