@@ -83,14 +83,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> D
 def storage_uri(spark: SparkSession, path: str) -> str:
     """The path of a folder of Parquet files with the scheme and authority of its storage.
 
-    A URI comes back as it is. A folder without rows has no file to name its storage and raises.
+    A URI comes back as it is. The folder must hold a file, with or without rows.
     """
     if "://" in path:
         return path
-    file = spark.read.parquet(path).select("_metadata.file_path").first()
-    if file is None:
-        raise ValueError(f"no rows below {path}")
-    place = urlsplit(file[0])
+    df = spark.read.parquet(path)
+    first = df.select("_metadata.file_path").first()
+    place = urlsplit(first[0] if first else df.inputFiles()[0])
     return f"{place.scheme}://{place.netloc}{path}"
 
 

@@ -185,3 +185,13 @@ def test_checkpointed_rows_do_not_depend_on_their_source(spark):
     kept = workspace.checkpointed(spark.range(10).withColumn("r", F.rand()), "rows")
     assert kept.exceptAll(kept).count() == 0 and kept.count() == 10
     assert "Range" not in kept._jdf.queryExecution().toString()
+
+
+def test_storage_uri_with_and_without_rows(spark):
+    for n in (3, 0):
+        path = workspace.new_path(spark, "by-uri")
+        spark.range(n).write.parquet(path)
+        uri = files.storage_uri(spark, path)
+        assert uri.startswith("file://") and uri.endswith(path)
+        assert files.storage_uri(spark, uri) == uri
+        assert files.read_any(spark, "parquet", uri).count() == n
