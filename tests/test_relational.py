@@ -150,6 +150,21 @@ def test_reachable_nodes_of_a_random_graph(spark):
     assert {row.node: row.depth for row in found.collect()} == depth
 
 
+def test_links_are_made_once_however_many_rounds(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def make(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(6)], "source long, target long")
+    links = pairs.mapInPandas(make, "source long, target long")
+    found = reachable(links, spark.createDataFrame([(0,)], "node long"))
+    assert {row.node: row.depth for row in found.collect()} == {i: i for i in range(7)}
+    assert made.value == 6
+
+
 def test_walks_end_in_cycles(spark):
     links = spark.createDataFrame(LINKS, "source long, target long")
     roots = spark.createDataFrame([(1,), (5,)], "node long")
