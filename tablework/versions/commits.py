@@ -87,14 +87,17 @@ def records(spark: SparkSession, path: str) -> list:
 
 
 def _changes_of(spark: SparkSession, path: str, taken: list) -> DataFrame:
-    """The changes of these records; other folders are not listed."""
+    """The changes of these records; other folders are not listed.
+
+    The few versions go to the rows: a shuffle by folder would bring all rows of a version to one task.
+    """
     folders = [f"{path}/data/{PART}={record.part}" for record in taken]
     rows = spark.read.option("basePath", f"{path}/data").parquet(*folders)
     numbers = spark.createDataFrame(
         [(record.part, record.version) for record in taken], f"{PART} string, {VERSION} bigint"
     )
     names = [name for name in rows.columns if name != PART]
-    return rows.join(numbers, PART).select(*names, VERSION)
+    return rows.join(F.broadcast(numbers), PART).select(*names, VERSION)
 
 
 def committed_changes(spark: SparkSession, path: str, as_of: int | None = None) -> DataFrame:

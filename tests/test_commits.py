@@ -130,3 +130,15 @@ def test_merge_takes_the_first_clause_that_fits(spark, rows_of):
         c.merge_changes(target, source, KEY, matched=[c.Insert()])
     with pytest.raises(ValueError, match="no such columns"):
         c.merge_changes(target, source, KEY, matched=[c.Update({"x": F.lit(1)})])
+
+
+def test_changes_of_a_version_stay_in_their_tasks(spark):
+    """A shuffle by the folder would bring all rows of a version to one task."""
+    path = new_path(spark, "table")
+    for number in range(2):
+        c.transact(spark, path, KEY, lambda _: rows(spark, [(2 * number, 1), (2 * number + 1, 1)]), "insert", AT)
+    changes = c.committed_changes(spark, path)
+    text = changes._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+    found = {(row.k, row[c.VERSION]) for row in changes.collect()}
+    assert found == {(0, 1), (1, 1), (2, 2), (3, 2)}
