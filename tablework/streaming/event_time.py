@@ -7,14 +7,12 @@ Every function takes the delay up to which rows may come out of order. What is b
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from datetime import timedelta
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from tablework.streaming.incremental import new_files
@@ -162,92 +160,52 @@ def interval_stream_join(
     return a.join(b, condition, how)
 
 
-#: Waiting rows (time in microseconds, tie, label) and the visit under way.
-VISIT_STATE = (
-    "times array<long>, ties array<long>, labels array<string>, "
-    "first long, last long, n long, path string"
-)
-
-
 def ordered_visits(
     stream: DataFrame, key: str, time_col: str, tie: str, label: str, delay: timedelta, idle: timedelta
 ) -> DataFrame:
     """``key, visit_start, visit_last, n_rows, path``: visits with their labels in order of time.
 
     A visit ends where a key is idle for ``idle`` or longer; ``path`` joins its labels by ``>``, a run
-    of equal ones written once. Rows wait in the key's state until the watermark has passed them and
-    are then taken in order of time and ``tie``, whatever the order they came in. A time-out by event
-    time wakes the key for its next waiting row or the end of its visit, and removes the state after
-    it. What waits is bounded by the rows of one key within the delay.
+    of equal ones written once, NULL ones left out. Rows wait in the state, by key and time, until the
+    watermark has passed them; then they go to the key's visits, which grow together in a second state
+    and come once, when the watermark has passed their end, whatever the order the rows came in. Rows of
+    one time are in order of ``tie``. Both states are Spark's own aggregates. What waits is bounded by
+    the rows within the delay and one idle time.
     """
-    idle_us = idle // timedelta(microseconds=1)
-    schema = stream.schema
-
-    def advance(
-        key_values: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        waiting, visit = [], None
-        if state.exists:
-            times, ties, labels, *visit = state.get
-            waiting = list(zip(times, ties, labels))
-            visit = visit if visit[2] else None
-        if not state.hasTimedOut:
-            for batch in batches:
-                waiting += zip(
-                    batch["_at"].tolist(), batch["_tie"].tolist(), batch["_label"].tolist()
-                )
-        waiting.sort()
-        watermark = state.getCurrentWatermarkMs() * 1000
-        done = []
-        passed = [row for row in waiting if row[0] < watermark]
-        for at, _, name in passed:
-            if visit and at - visit[1] >= idle_us:
-                done.append(visit)
-                visit = None
-            if visit is None:
-                visit = [at, at, 0, ""]
-            first, _, n, path = visit
-            if path.rpartition(">")[2] != name:
-                path = f"{path}>{name}" if path else name
-            visit = [first, at, n + 1, path]
-        waiting = waiting[len(passed):]
-        if visit and watermark >= visit[1] + idle_us:
-            done.append(visit)
-            visit = None
-        if waiting or visit:
-            columns = [list(column) for column in zip(*waiting)] or [[], [], []]
-            state.update((*columns, *(visit or (0, 0, 0, ""))))
-            # The watermark must be past that time for the key to wake.
-            wakes = min(row[0] for row in [*waiting[:1], *([(visit[1] + idle_us,)] if visit else [])])
-            state.setTimeoutTimestamp(max(wakes // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        elif state.exists:
-            state.remove()
-        if done:
-            yield pd.DataFrame(
-                [(*key_values, *row) for row in done],
-                columns=[key, "visit_start", "visit_last", "n_rows", "path"],
-            )
-
-    kind = schema[key].dataType.simpleString()
-    visits = (
+    rows = (
         with_event_time(stream, time_col, delay)
         .select(
-            key,
-            time_col,
-            F.unix_micros(time_col).alias("_at"),
-            F.col(tie).cast("long").alias("_tie"),
-            F.col(label).cast("string").alias("_label"),
+            F.col(key),
+            F.col(time_col),
+            F.struct(
+                F.col(tie).isNull().alias("last"),
+                F.col(tie).cast("long").alias("tie"),
+                F.col(label).cast("string").alias("label"),
+            ).alias("_row"),
         )
         .where(F.col(key).isNotNull() & F.col(time_col).isNotNull())
-        .groupBy(key)
-        .applyInPandasWithState(
-            advance,
-            f"`{key}` {kind}, visit_start long, visit_last long, n_rows long, path string",
-            VISIT_STATE,
-            "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
     )
-    return visits.withColumns(
-        {name: F.timestamp_micros(name) for name in ("visit_start", "visit_last")}
+    passed = rows.groupBy(key, time_col).agg(F.collect_list("_row").alias("_rows"))
+    # Spark lets a session go on at its very end, where a visit ends.
+    session = F.session_window(time_col, _text(idle - timedelta(microseconds=1)))
+    visits = passed.groupBy(key, session.alias("_session")).agg(
+        F.min(time_col).alias("visit_start"),
+        F.max(time_col).alias("visit_last"),
+        F.collect_list(F.struct(F.col(time_col).alias("at"), F.array_sort("_rows").alias("rows"))).alias(
+            "_steps"
+        ),
+    )
+    labels = F.flatten(
+        F.transform(F.array_sort("_steps"), lambda step: F.transform(step["rows"], lambda row: row["label"]))
+    )
+    same_as_before = lambda name, i: (i > 0) & F.coalesce(
+        name == F.get("_labels", i - 1), F.lit(False)
+    )
+    path = F.filter("_labels", lambda name, i: name.isNotNull() & ~same_as_before(name, i))
+    return visits.withColumn("_labels", labels).select(
+        key,
+        "visit_start",
+        "visit_last",
+        F.size("_labels").cast("long").alias("n_rows"),
+        F.when(F.size(path) > 0, F.array_join(path, ">")).alias("path"),
     )

@@ -103,6 +103,25 @@ def test_visits_are_in_order_though_rows_are_not(spark, places):
     assert sorted(tuple(row) for row in found.collect()) == expected
 
 
+def test_visits_are_built_without_python(spark, places):
+    """A late row is left out, a NULL label counts, and a visit ends at exactly its idle time."""
+    waves = [
+        [(1, 7, 0, "a"), (2, 7, 1, None), (3, 7, 1, "a"), (4, 7, 3, "b"), (5, 8, 0, None), (6, 9, 20, "z")],
+        [(7, 7, 10, "late"), (8, 8, 10.25, "x"), (9, 9, 60, "z")],
+    ]
+    for wave in waves:
+        schema = land(spark, places["landing"], wave)
+        visits = event_time.ordered_visits(
+            new_files(spark, places["landing"], schema), "k", "ts", "id", "kind", 10 * HOUR, 2 * HOUR
+        )
+        assert "InPandas" not in visits._jdf.queryExecution().analyzed().toString()
+        append_available(visits, places["sink"], places["progress"])
+    found = spark.read.parquet(places["sink"]).select("k", "n_rows", "path").collect()
+    assert sorted(map(tuple, found), key=str) == [
+        (7, 1, "b"), (7, 3, "a>a"), (8, 1, "x"), (8, 1, None), (9, 1, "z")
+    ]
+
+
 def rows_of_state(query):
     query.awaitTermination()
     return [state["numRowsTotal"] for state in query.lastProgress["stateOperators"]]
