@@ -1,7 +1,7 @@
 """Find personal data, and terms that give it away, with DataFrame functions only.
 
 Base spans are patterns with checks: e-mail and IP addresses, card and phone numbers. Each
-distinct base value is a protected entity. The corpus says how much a term next to an entity
+distinct base value is a protected entity. The corpus says how much a term in a document with an entity
 tells about it: with the pointwise mutual information PMI(entity; term) and the entity's own
 information content IC(entity), a term discloses an entity if PMI >= IC / alpha. A term that also
 stands without the entity must besides stand with it more often than chance explains, by a
@@ -38,7 +38,8 @@ WORD_CHARS = r"\p{L}\p{N}"
 TERM = rf"[{WORD_CHARS}]+"
 
 SPAN = "array<struct<start:int,kind:int,stop:int,value:string>>"
-#: Code points on either side of an entity in which terms are proposed as disclosing it.
+#: Code points on either side of an entity in which a term must stand once to be paired with it, unless
+#: whole documents are asked for.
 REACH = 80
 #: Documents that must hold both a term and an entity before the estimate is trusted.
 MIN_DOCS = 2
@@ -46,7 +47,7 @@ ALPHA = 1.0
 #: Likelihood ratio (one degree of freedom, p = 0.001) by which a term that also stands without the
 #: entity must differ from chance.
 SIGNIFICANT = 10.83
-#: Rows and UTF-8 bytes up to which the candidate terms are broadcast; beyond either they are
+#: Rows and UTF-8 bytes up to which the disclosing terms are broadcast; beyond either they are
 #: joined by shuffle.
 BROADCAST_TERMS, BROADCAST_BYTES = 200_000, 16_000_000
 
@@ -151,17 +152,24 @@ def replaced(text: Column, spans: Column, substitute) -> Column:
     return F.when(F.size(spans) > 0, F.aggregate(spans, start, add, finish)).otherwise(text)
 
 
-def neighbours(masked: Column, span: Column) -> Column:
+def words_of(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))
+
+
+def neighbours(masked: Column, span: Column, reach: int) -> Column:
     """The whole terms within reach of a span."""
-    first = F.greatest(F.lit(0), span["start"] - REACH)
+    first = F.greatest(F.lit(0), span["start"] - reach)
     left = F.substring(masked, first + 1, span["start"] - first)
-    right = F.substring(masked, span["stop"] + 1, F.lit(REACH))
+    right = F.substring(masked, span["stop"] + 1, F.lit(reach))
     left = F.when(first > 0, F.regexp_replace(left, rf"^[{WORD_CHARS}]+", "")).otherwise(left)
     right = F.when(
-        F.char_length(right) == REACH, F.regexp_replace(right, rf"[{WORD_CHARS}]+$", "")
+        F.char_length(right) == reach, F.regexp_replace(right, rf"[{WORD_CHARS}]+$", "")
     ).otherwise(right)
-    around = F.concat(left, F.lit(" "), right)
-    return F.array_distinct(F.regexp_extract_all(around, F.lit(TERM), F.lit(0)))
+    return words_of(F.concat(left, F.lit(" "), right))
+
+
+def entity_of(span: Column) -> Column:
+    return F.concat_ws(":", span["kind"].cast("string"), F.lower(span["value"]))
 
 
 def rendered(spans: Column) -> Column:
@@ -181,40 +189,45 @@ def rendered(spans: Column) -> Column:
 
 
 def disclosing_terms(
-    rows: DataFrame, found: DataFrame, n_docs: int, alpha: float, min_docs: int
+    rows: DataFrame, found: DataFrame, n_docs: int, alpha: float, min_docs: int, reach: int | None
 ) -> DataFrame:
     """``id, text_hash, term, certain`` where terms stand that disclose an entity.
 
     ``rows`` holds ``id, text`` of every document, ``found`` the spans of those that have any.
-    The neighbours of entities only propose pairs of entity and term, at most a few dozen for each
-    occurrence, so the pairs grow with the entities found. Whether a pair discloses is counted in
-    documents: those that hold the term, the entity, and both, anywhere in the text. Pairs that
-    could not reach the threshold even if the rarer one never stood alone go before the last count.
+    Every term that stands outside the base spans of a document is paired with every entity of the
+    document, however far apart; with ``reach`` only pairs stay that somewhere stand within so many
+    code points. Whether a pair discloses is counted in documents: those that hold
+    the term, the entity, and both, anywhere in the text. Equal texts are paired once, with the number
+    of their rows. Pairs that could not reach the threshold even if the rarer one never stood alone go
+    where they are made, so that frequent terms meet frequent entities only.
     """
-    pairs = checkpointed(
-        found.select("id", "text_hash", "n_rows", "masked", F.explode("base").alias("span")).select(
-            "id",
+    copies = checkpointed(
+        found.select(
             "text_hash",
             "n_rows",
-            F.concat_ws(":", F.col("span.kind").cast("string"), F.lower("span.value")).alias(
-                "entity"
-            ),
-            neighbours(F.col("masked"), F.col("span")).alias("terms"),
+            F.array_distinct(F.transform("base", entity_of)).alias("entities"),
+            "words",
+            words_of(F.col("masked")).alias("outside"),
+        )
+        .groupBy("text_hash")
+        .agg(
+            F.sum("n_rows").alias("n_rows"),
+            *[F.first(name).alias(name) for name in ("entities", "words", "outside")],
         ),
         "entities",
     )
-    holders = pairs.select("id", "text_hash", "n_rows", "entity").distinct()
+    of_text = copies.select("text_hash", "n_rows", F.explode("entities").alias("entity"))
     entities = (
-        holders.groupBy("entity")
+        of_text.groupBy("entity")
         .agg(F.sum("n_rows").alias("n_entity"))
         .where(F.col("n_entity") >= min_docs)
     )
-    near = pairs.select("entity", F.explode("terms").alias("term")).distinct()
-    proposed = checkpointed(near.join(entities, "entity"), "proposed")
-    words = F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)))
-    held = rows.select("id", F.xxhash64("text").alias("text_hash"), F.explode(words).alias("term"))
-    counted = among(held.select("term"), proposed)
-    frequency = counted.groupBy("term").agg(F.count("*").alias("n_term"))
+    held = rows.select(
+        "id", F.xxhash64("text").alias("text_hash"), F.explode(words_of(F.col("text"))).alias("term")
+    )
+    frequency = (
+        held.groupBy("term").agg(F.count("*").alias("n_term")).where(F.col("n_term") >= min_docs)
+    )
     n = F.lit(float(n_docs))
     content = F.log2(n / F.col("n_entity"))
 
@@ -222,37 +235,42 @@ def disclosing_terms(
         pmi = F.log2(n_both * n / (F.col("n_term") * F.col("n_entity")))
         return (n_both >= min_docs) & (pmi >= content / alpha - 1e-9)
 
-    candidates = checkpointed(
-        proposed.join(frequency, "term").where(reaches(F.least("n_term", "n_entity"))),
-        "candidates",
-    )
-    held = checkpointed(among(held, candidates), "held-terms")
-    is_holder = (
-        (F.col("entity") == F.col("held_entity"))
-        & F.col("id").eqNullSafe(F.col("held_id"))
-        & (F.col("text_hash") == F.col("held_hash"))
+    def placed(words: Column, outside: bool) -> Column:
+        return F.transform(words, lambda word: F.struct(word.alias("term"), F.lit(outside).alias("outside")))
+
+    terms = copies.select(
+        "text_hash",
+        F.inline(
+            F.concat(
+                placed(F.array_intersect("words", "outside"), True),
+                placed(F.array_except("words", "outside"), False),
+            )
+        ),
     )
     together = (
-        candidates.select("entity", "term").join(held, "term")
-        .join(
-            holders.select(
-                F.col("entity").alias("held_entity"),
-                F.col("id").alias("held_id"),
-                F.col("text_hash").alias("held_hash"),
-            ),
-            is_holder,
-        )
-        .groupBy("entity", "term")
-        .agg(F.count("*").alias("n_both"))
+        terms.join(frequency, "term")
+        .join(of_text.join(entities, "entity"), "text_hash")
+        .where(reaches(F.least("n_term", "n_entity")))
+        .groupBy("entity", "term", "n_term", "n_entity")
+        .agg(F.sum("n_rows").alias("n_both"), F.max("outside").alias("outside"))
     )
+    together = together.where("outside")
+    if reach is not None:
+        spans = found.select("masked", F.explode("base").alias("span"))
+        near = spans.select(
+            entity_of(F.col("span")).alias("entity"),
+            F.explode(neighbours(F.col("masked"), F.col("span"), reach)).alias("term"),
+        )
+        together = together.join(near, ["entity", "term"], "left_semi")
     certain = F.col("n_both") >= F.col("n_term")
-    disclosing = (
-        candidates.join(together, ["entity", "term"])
+    disclosing = checkpointed(
+        together
         .where(reaches(F.col("n_both")) & (certain | (likelihood_ratio(n) >= SIGNIFICANT)))
         .groupBy("term")
-        .agg(F.max(certain).alias("certain"))
+        .agg(F.max(certain).alias("certain")),
+        "disclosing",
     )
-    return held.join(disclosing, "term").distinct()
+    return among(held, disclosing).join(disclosing, "term").distinct()
 
 
 def likelihood_ratio(n: Column) -> Column:
@@ -288,6 +306,7 @@ def sanitize(
     text_col: str = "text",
     alpha: float = ALPHA,
     min_docs: int = MIN_DOCS,
+    reach: int | None = REACH,
 ) -> DataFrame:
     """All columns of ``docs`` with ``spans`` (start, kind, stop, value; by start) and ``clean``.
 
@@ -296,8 +315,9 @@ def sanitize(
     result, and a null id is an id. In ``clean`` base spans give way to their kind in
     brackets, disclosing terms that determine an entity are removed and others are replaced by
     ``[term]``. With the strict ``alpha`` of 1 a term is a span only if it never occurs in a
-    document without the entity, so documents without personal data stay as they are. Columns
-    named like a result are replaced. An empty table gives an empty one.
+    document without the entity, so documents without personal data stay as they are. A term must
+    stand within ``reach`` code points of the entity in one document at least; with None all terms
+    of a document are paired with all its entities. Columns named like a result are replaced. An empty table gives an empty one.
     """
     rows = packed(
         docs,
@@ -313,17 +333,19 @@ def sanitize(
             F.xxhash64("text").alias("text_hash"),
             "base",
             replaced(F.col("text"), F.col("base"), blank).alias("masked"),
+            words_of(F.col("text")).alias("words"),
         )
         .groupBy("id", "text_hash")
         .agg(
             F.count("*").alias("n_rows"),
             F.first("base").alias("base"),
             F.first("masked").alias("masked"),
+            F.first("words").alias("words"),
         ),
         "base-spans",
     )
     disclosing = disclosing_terms(
-        rows.select("id", "text"), found, docs.count(), alpha, min_docs
+        rows.select("id", "text"), found, docs.count(), alpha, min_docs, reach
     )
     hits = checkpointed(
         disclosing.groupBy(F.col("id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).agg(

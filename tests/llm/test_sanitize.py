@@ -1,5 +1,6 @@
 """Personal data against the patterns as Python's regular expressions read them."""
 
+import math
 import random
 import re
 
@@ -151,3 +152,56 @@ def test_terms_are_broadcast_up_to_a_number_of_rows_and_of_bytes(spark, monkeypa
     monkeypatch.setattr(module, "BROADCAST_TERMS", 1)
     assert not joined()
     assert module.among(held, pairs.limit(0)).count() == 0
+
+
+def test_query_finds_terms_far_from_an_entity(spark, tmp_path):
+    """The name never stands near the address, in none of the documents."""
+    far = " and so on with words that stand everywhere in every text" * 40
+    rows = [(i, f"Wendelgard asked{far} w.k@corp.example.org") for i in range(3)]
+    rows += [(i, f"Nobody asked{far}") for i in range(3, 8)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for row in queries.op6_personal_data(spark, str(tmp_path)).collect():
+        assert ("term:0:10" in row["spans"]) == (row["doc_id"] < 3), row["doc_id"]
+
+
+def test_pairs_against_plain_counting(spark):
+    """Texts with copies, words within addresses, and several entities, at a lenient threshold."""
+    dice = random.Random(5)
+    words = [f"w{i}" for i in range(60)] + ["ann", "bob"]
+    mails = ["ann@x.org", "bob@y.org", "kim@z.org"]
+    texts = []
+    for _ in range(60):
+        chosen = dice.choices(words, k=dice.randrange(2, 12)) + dice.sample(mails, dice.choice([0, 0, 1, 2]))
+        texts += [" ".join(chosen)] * dice.choice([1, 1, 1, 3])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    alpha, n = 1.4, len(texts)
+    held = [set(re.findall(r"[a-z0-9]+", text)) for text in texts]
+    expected = {}
+    for mail in mails:
+        having = [i for i, text in enumerate(texts) if mail in text.split()]
+        outside = {word for i in having for word in texts[i].split() if "@" not in word}
+        for word in outside:
+            n_both, n_term = sum(word in held[i] for i in having), sum(word in own for own in held)
+            pmi = math.log2(n_both * n / (n_term * len(having)))
+            if n_both < 2 or pmi < math.log2(n / len(having)) / alpha - 1e-9:
+                continue
+            expected.setdefault(word, []).append((n_both, n_term, len(having)))
+
+    def significant(n_both, n_term, n_entity):
+        part = lambda seen, chance: seen * math.log(seen / chance) if seen else 0.0
+        return n_both * n > n_term * n_entity and 2 * (
+            part(n_both, n_term * n_entity / n)
+            + part(n_term - n_both, n_term * (n - n_entity) / n)
+            + part(n_entity - n_both, (n - n_term) * n_entity / n)
+            + part(n - n_term - n_entity + n_both, (n - n_term) * (n - n_entity) / n)
+        ) >= module.SIGNIFICANT
+
+    expected = {
+        word for word, pairs in expected.items()
+        if any(pair[0] >= pair[1] or significant(*pair) for pair in pairs)
+    }
+    assert expected
+    for row in sanitize(docs, alpha=alpha, reach=None).collect():
+        terms = {span["value"] for span in row["spans"] if KINDS[span["kind"]] == "term"}
+        outside = {word for word in row["text"].split() if "@" not in word}
+        assert terms == outside & expected, row["doc_id"]
