@@ -17,6 +17,8 @@ group, which Java matches by recursion and which long texts would overflow.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +49,7 @@ ALPHA = 1.0
 #: Likelihood ratio (one degree of freedom, p = 0.001) by which a term that also stands without the
 #: entity must differ from chance.
 SIGNIFICANT = 10.83
-#: Rows and UTF-8 bytes up to which the disclosing terms are broadcast; beyond either they are
+#: Rows and UTF-8 bytes up to which chosen terms are broadcast; beyond either they are
 #: joined by shuffle.
 BROADCAST_TERMS, BROADCAST_BYTES = 200_000, 16_000_000
 
@@ -198,8 +200,8 @@ def disclosing_terms(
     document, however far apart; with ``reach`` only pairs stay that somewhere stand within so many
     code points. Whether a pair discloses is counted in documents: those that hold
     the term, the entity, and both, anywhere in the text. Equal texts are paired once, with the number
-    of their rows. Pairs that could not reach the threshold even if the rarer one never stood alone go
-    where they are made, so that frequent terms meet frequent entities only.
+    of their rows. Terms go before that if too few of their documents hold any entity, and pairs go
+    where they are made if they could not reach the threshold even if the rarer one never stood alone.
     """
     copies = checkpointed(
         found.select(
@@ -240,6 +242,7 @@ def disclosing_terms(
 
     terms = copies.select(
         "text_hash",
+        "n_rows",
         F.inline(
             F.concat(
                 placed(F.array_intersect("words", "outside"), True),
@@ -247,10 +250,23 @@ def disclosing_terms(
             )
         ),
     )
+    # No pair of a term holds it in more documents than those with any entity do, and none of a rarer
+    # entity than ``min_docs`` counts.
+    rarest = max(min_docs, 1)
+    gain = max(0.0, (1 - 1 / alpha) * math.log2(max(n_docs, rarest) / rarest))
+    candidates = checkpointed(
+        terms.groupBy("term")
+        .agg(F.sum("n_rows").alias("n_held"))
+        .where(F.col("n_held") >= min_docs)
+        .join(frequency, "term")
+        .where(F.log2(F.col("n_held") / F.col("n_term")) + gain >= -1e-6),
+        "candidates",
+    )
     together = (
-        terms.join(frequency, "term")
+        among(terms.drop("n_rows"), candidates)
+        .join(candidates, "term")
         .join(of_text.join(entities, "entity"), "text_hash")
-        .where(reaches(F.least("n_term", "n_entity")))
+        .where(reaches(F.least("n_held", "n_entity")))
         .groupBy("entity", "term", "n_term", "n_entity")
         .agg(F.sum("n_rows").alias("n_both"), F.max("outside").alias("outside"))
     )
@@ -264,8 +280,7 @@ def disclosing_terms(
         together = together.join(near, ["entity", "term"], "left_semi")
     certain = F.col("n_both") >= F.col("n_term")
     disclosing = checkpointed(
-        together
-        .where(reaches(F.col("n_both")) & (certain | (likelihood_ratio(n) >= SIGNIFICANT)))
+        together.where(reaches(F.col("n_both")) & (certain | (likelihood_ratio(n) >= SIGNIFICANT)))
         .groupBy("term")
         .agg(F.max(certain).alias("certain")),
         "disclosing",
