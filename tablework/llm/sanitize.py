@@ -370,11 +370,14 @@ def sanitize(
     )
     is_hit = F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash"))
     masked = found.select("id", "text_hash", "base", "masked")
-    others = hits.join(found, is_hit, "left_anti")
+    # Written, so that their size is known and they are broadcast to the texts where it is small.
+    others = checkpointed(
+        hits.join(found, is_hit, "left_anti").select("hit_id", "hit_hash"), "others"
+    )
     if not others.isEmpty():  # terms in texts without an entity: these texts are their own mask
         texts = rows.select("id", F.xxhash64("text").alias("text_hash"), "text")
         masked = masked.unionByName(
-            texts.join(others.select("hit_id", "hit_hash"), is_hit, "left_semi")
+            texts.join(others, is_hit, "left_semi")
             .dropDuplicates(["id", "text_hash"])
             .select("id", "text_hash", F.array().cast(SPAN).alias("base"), F.col("text").alias("masked"))
         )
